@@ -43,6 +43,7 @@ def differences(df, con, sql):
         return "the oracle is empty"
     if actual == expected:
         return ""
-    missing = [r for r in expected if r not in set(actual)][:3]
-    extra = [r for r in actual if r not in set(expected)][:3]
+    seen, wanted = set(actual), set(expected)
+    missing = [r for r in expected if r not in seen][:3]
+    extra = [r for r in actual if r not in wanted][:3]
     return f"{len(actual)} rows != {len(expected)}; missing {missing}; extra {extra}"

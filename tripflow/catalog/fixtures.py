@@ -221,7 +221,7 @@ trip AS (
          WHEN event_id % 37 = 0 OR event_id % 41 = 0 OR event_id % 43 = 0 OR event_id % 47 = 0
            THEN 'pickup_area'
          WHEN event_id % 53 = 0 THEN 'timestamp' ELSE 'good' END AS reason,
-    CASE WHEN event_id % 29 = 0 OR event_id % 31 = 0 THEN 0
+    CASE WHEN event_id % 29 = 0 OR event_id % 31 = 0 OR event_id % 101 = 0 THEN 0
          ELSE value END::DECIMAL(18,2) AS total,
     (event_id % 53 = 0 OR event_id % 59 = 0 OR event_id % 101 = 0) AS time_fallback,
     '{"Trip ID":"t' || event_id || '","Taxi ID":"u' || user_id || '","Company":"' || event_type || '"'

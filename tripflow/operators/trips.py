@@ -64,50 +64,49 @@ def drop_repeats(df, unique, time_col, within):
     return df.withWatermark(time_col, within).dropDuplicatesWithinWatermark(unique)
 
 
-# JSON types a registry may name, and the map type whose values hold only those.
-_TYPE_MAPS = {
-    "integer": "MAP<STRING, BIGINT>",
-    "number": "MAP<STRING, DOUBLE>",
-    "boolean": "MAP<STRING, BOOLEAN>",
-    "string": "MAP<STRING, STRING>",
-}
+# Type names of a registry. Any scalar can be read as a text, so ``string`` takes them all.
+_JSON_TYPES = {"integer": "BIGINT", "number": "DOUBLE", "boolean": "BOOLEAN", "string": "STRING"}
 
 
 def validate_schema(messages, registry, value="value"):
     """Check messages against the newest registered schema of their tenant.
 
-    ``registry``: tenant, version, field, type, required. Adds ``schema_version`` and
-    ``mismatches``, one text per missing or wrongly typed field; a message that is no
-    object has the single mismatch ``not an object``.
+    ``registry``: tenant, version, field, type, required. Its newest versions are fetched
+    when the query is built; they are the schemas the messages are parsed with. Adds
+    ``schema_version`` and ``mismatches``, one text per missing or wrongly typed field (a
+    message that is no object has the one text ``not an object``). Messages of tenants
+    without a schema are left out.
     """
     newest = registry.groupBy("tenant").agg(F.max("version").alias("version"))
-    # One row per tenant; the list is as long as the registered schema.
-    expected = (
-        registry.join(newest, ["tenant", "version"])
-        .groupBy("tenant", F.col("version").alias("schema_version"))
-        .agg(F.array_sort(F.collect_list(F.struct("field", "type", "required"))).alias("_fields"))
-    )
-    rows = messages.join(expected, "tenant")
-    for kind, ddl in _TYPE_MAPS.items():
-        rows = rows.withColumn(f"_as_{kind}", F.from_json(value, ddl))
-
-    def fault(item):
-        name, text = item["field"], F.col("_as_string")[item["field"]]
-        fits = F.lit(False)
-        for kind in _TYPE_MAPS:
-            fits = fits | (
-                (item["type"] == kind) & F.col(f"_as_{kind}")[name].isNotNull()
+    schemas: dict[tuple, list] = {}
+    for row in registry.join(newest, ["tenant", "version"]).orderBy("tenant", "field").collect():
+        schemas.setdefault((row.tenant, row.version), []).append(row)
+
+    texts = F.from_json(value, "MAP<STRING, STRING>")
+    version = F.lit(None).cast("int")
+    mismatches = F.lit(None).cast("array<string>")
+    for (tenant, number), fields in schemas.items():
+        ddl = ", ".join(f"`{f.field}` {_JSON_TYPES[f.type]}" for f in fields)
+        typed = F.from_json(value, ddl)
+        faults = []
+        for f in fields:
+            fault = F.when(
+                F.col("_texts")[f.field].isNotNull() & typed[f.field].isNull(), f"type {f.field}"
             )
-        return (
-            F.when(text.isNull() & item["required"], F.concat(F.lit("missing "), name))
-            .when(text.isNotNull() & ~fits, F.concat(F.lit("type "), name))
-        )
-
-    faults = F.array_compact(F.transform("_fields", fault))
-    return rows.withColumn(
-        "mismatches",
-        F.when(F.col("_as_string").isNull(), F.array(F.lit("not an object"))).otherwise(faults),
-    ).select(*messages.columns, "schema_version", "mismatches")
+            if f.required:
+                fault = fault.when(F.col("_texts")[f.field].isNull(), f"missing {f.field}")
+            faults.append(fault)
+        is_tenant = F.col("tenant") == tenant
+        version = F.when(is_tenant, number).otherwise(version)
+        mismatches = F.when(is_tenant, F.array_compact(F.array(*faults))).otherwise(mismatches)
+    no_object = F.array(F.lit("not an object"))
+    return (
+        messages.withColumn("_texts", texts)
+        .withColumn("schema_version", version)
+        .filter("schema_version IS NOT NULL")
+        .withColumn("mismatches", F.when(F.col("_texts").isNull(), no_object).otherwise(mismatches))
+        .drop("_texts")
+    )
 
 
 def encrypt_cols(df, cols, key):
