@@ -58,18 +58,18 @@ def _silver_columns(key="area"):
     ]
 
 
-def _silver_select(hours_ms=3600000, source="silver"):
+def silver_select(hours_ms=3600000, source="silver"):
     return f"""SELECT area::INTEGER AS area, trips, total_fares::DOUBLE AS total_fares,
   epoch_ms(window_start::TIMESTAMP) AS window_start_ms,
   epoch_ms(window_start::TIMESTAMP) + {hours_ms} AS window_end_ms FROM {source}"""
 
 
-@query("silver_area_hour", f"WITH {TRIPS_CTE}, {silver_cte(3600)} {_silver_select()}")
+@query("silver_area_hour", f"WITH {TRIPS_CTE}, {silver_cte(3600)} {silver_select()}")
 def silver_area_hour(spark, sf_dir):
     return hourly_silver(spark, sf_dir).select(*_silver_columns())
 
 
-@query("silver_area_minute", f"WITH {TRIPS_CTE}, {silver_cte(60)} {_silver_select(60000)}")
+@query("silver_area_minute", f"WITH {TRIPS_CTE}, {silver_cte(60)} {silver_select(60000)}")
 def silver_area_minute(spark, sf_dir):
     return silver(judged_rows(spark, sf_dir)).select(*_silver_columns())
 
@@ -206,42 +206,42 @@ def critical(spark, sf_dir):
     )
 
 
-_GOLD = """sum(trips)::BIGINT AS trips, sum(total_fares)::DOUBLE AS sum_fares,
+GOLD_SQL = """sum(trips)::BIGINT AS trips, sum(total_fares)::DOUBLE AS sum_fares,
   round(sum(total_fares)::DOUBLE / count(*), 6) AS avg_fares,
   min(epoch_ms(window_start::TIMESTAMP)) AS window_start_ts,
   max(epoch_ms(window_start::TIMESTAMP)) + 3600000 AS window_end_ts"""
 
 
-def _gold_columns(df):
+def gold_columns(df):
     return _plain(df, "sum_fares").withColumn("avg_fares", F.round("avg_fares", 6))
 
 
 @query(
     "gold_area",
-    f"WITH {TRIPS_CTE}, {silver_cte(3600)} SELECT area::INTEGER AS pickup_location_area, {_GOLD} "
+    f"WITH {TRIPS_CTE}, {silver_cte(3600)} SELECT area::INTEGER AS pickup_location_area, {GOLD_SQL} "
     "FROM silver GROUP BY 1",
 )
 def gold_area(spark, sf_dir):
-    return _gold_columns(reports.gold(stored_silver(spark, sf_dir)))
+    return gold_columns(reports.gold(stored_silver(spark, sf_dir)))
 
 
 @query(
     "gold_by_day",
     f"WITH {TRIPS_CTE}, {silver_cte(3600)} SELECT area::INTEGER AS pickup_location_area, "
-    f"strftime(window_start::TIMESTAMP, '%Y-%m-%d') AS day, {_GOLD} FROM silver GROUP BY 1, 2",
+    f"strftime(window_start::TIMESTAMP, '%Y-%m-%d') AS day, {GOLD_SQL} FROM silver GROUP BY 1, 2",
 )
 def gold_by_day(spark, sf_dir):
-    rows = _gold_columns(reports.gold_by_day(stored_silver(spark, sf_dir)))
+    rows = gold_columns(reports.gold_by_day(stored_silver(spark, sf_dir)))
     return rows.withColumn("day", F.col("day").cast("string"))
 
 
 @query(
     "gold_by_weekday",
     f"WITH {TRIPS_CTE}, {silver_cte(3600)} SELECT area::INTEGER AS pickup_location_area, "
-    f"(dayofweek(window_start::TIMESTAMP) + 1)::INTEGER AS weekday, {_GOLD} FROM silver GROUP BY 1, 2",
+    f"(dayofweek(window_start::TIMESTAMP) + 1)::INTEGER AS weekday, {GOLD_SQL} FROM silver GROUP BY 1, 2",
 )
 def gold_by_weekday(spark, sf_dir):
-    return _gold_columns(reports.gold_by_weekday(stored_silver(spark, sf_dir)))
+    return gold_columns(reports.gold_by_weekday(stored_silver(spark, sf_dir)))
 
 
 def _top(direction):
@@ -311,19 +311,19 @@ def late_minute(spark, sf_dir):
 @query(
     "on_time_silver",
     f"WITH {TRIPS_CTE}, {late_cte(3600)}, on_time AS (SELECT * FROM judged WHERE NOT late), "
-    f"{silver_cte(3600, 'on_time')} {_silver_select()}",
+    f"{silver_cte(3600, 'on_time')} {silver_select()}",
 )
 def on_time_silver(spark, sf_dir):
     return silver(on_time_rows(judged_rows(spark, sf_dir), HOUR), HOUR).select(*_silver_columns())
 
 
-_LINE = """area || ',' || trips || ',' || total_fares::DECIMAL(18,2) || ','
+LINE_SQL = """area || ',' || trips || ',' || total_fares::DECIMAL(18,2) || ','
   || epoch_ms(window_start::TIMESTAMP) || ',' || (epoch_ms(window_start::TIMESTAMP) + 3600000)"""
 
 
 @query(
     "silver_lines",
-    f"WITH {TRIPS_CTE}, {silver_cte(3600)} SELECT {_LINE} AS line FROM silver",
+    f"WITH {TRIPS_CTE}, {silver_cte(3600)} SELECT {LINE_SQL} AS line FROM silver",
 )
 def silver_lines(spark, sf_dir):
     return hourly_silver(spark, sf_dir).select(text.silver_line().alias("line"))
@@ -333,7 +333,7 @@ def silver_lines(spark, sf_dir):
     "tenant_feed",
     f"""WITH {TRIPS_CTE}, {late_cte(3600)}, on_time AS (SELECT * FROM judged WHERE NOT late),
       {silver_cte(3600, 'on_time')}, {quality_cte(3600, 'on_time')}
-    SELECT 'Silver data: ' || {_LINE} AS value FROM silver
+    SELECT 'Silver data: ' || {LINE_SQL} AS value FROM silver
     UNION ALL SELECT 'Record ignored from analytics due lateness: ' || message FROM judged WHERE late
     UNION ALL SELECT 'data quality alert{{"window":' || window_ms || ',"rows":' || n_rows || ',"discarded":' || discarded
       || ',"data_quality":' || (1.0::DOUBLE - discarded::DOUBLE / n_rows::DOUBLE) || ',"pickup_errors":'

@@ -91,9 +91,10 @@ CHICAGO_SQL = """CASE WHEN event_id % 43 = 0 THEN 8 ELSE user_id % 77 + 1 END::D
   'Cash' AS payment_type"""
 
 
-def chicago_columns(df):
+def chicago_columns(df, *more):
     """Stored Chicago trips for comparison: times in seconds, missing numbers as -1."""
     return df.select(
+        *more,
         "pickup_community_area",
         "trip_id",
         "taxi_id",
@@ -197,8 +198,8 @@ CLEAN_SQL = """'t' || event_id AS trip_id, 'u' || user_id AS taxi_id, event_type
   CASE WHEN event_id % 31 = 0 THEN -1 ELSE value END AS trip_total, 'Cash' AS payment_type"""
 
 
-def clean_columns(df):
-    return chicago_columns(df).fillna({"start_s": -1})
+def clean_columns(df, *more):
+    return chicago_columns(df, *more).fillna({"start_s": -1})
 
 
 @query("clean_trips", f"SELECT {CLEAN_SQL} FROM events")

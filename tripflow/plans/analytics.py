@@ -39,7 +39,7 @@ def silver_analytics(messages, base, size=WINDOW_SIZE, delay=WATERMARK_DELAY,
             write_messages(
                 texts, FEED_TOPIC, feed,
                 # Each writer of files needs a folder of its own; a topic is shared.
-                f"{base}/feed/{name}", f"{base}/_checkpoints/{name}", feed_options,
+                f"{base}/feed/{name}", f"{base}/_checkpoints/feed_{name}", feed_options,
             )
         )
     for query in started:

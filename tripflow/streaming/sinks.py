@@ -45,15 +45,20 @@ def silver_files(df, zone=HOUR_ZONE):
 
 
 def write_silver(sdf, base, checkpoint=None, fmt="parquet", trigger=None):
-    """Silver files in hourly directories, each row exactly once (the sink keeps a log)."""
+    """Silver files in hourly directories, each row exactly once (the sink keeps a log).
+
+    Rows of an hour are brought together first, or each task would write a file per hour.
+    Silver is small: a row per area and window.
+    """
     rows = silver_files(sdf)
     if sdf.isStreaming:
-        writer = rows.writeStream.format(fmt).outputMode("append").partitionBy("hour")
+        writer = rows.repartition("hour").writeStream.format(fmt).outputMode("append").partitionBy("hour")
         return (
             writer.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or AVAILABLE_NOW))
             .start(base)
         )
+    rows = rows.hint("rebalance", "hour")
     return rows.write.format(fmt).mode("append").partitionBy("hour").save(base)
 
 
