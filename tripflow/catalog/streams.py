@@ -68,9 +68,11 @@ def stream_events(spark, sf_dir):
     )
 
 
-def _analytics_run(spark, sf_dir):
+def _analytics_run(spark, sf_dir, output):
     base = fresh_dir(spark, "analytics")
-    silver_analytics(trip_messages(stream_events(spark, sf_dir)), base, HOUR)
+    messages = trip_messages(stream_events(spark, sf_dir))
+    # The events span a month, so daily directories.
+    silver_analytics(messages, base, HOUR, period="day", outputs=(output,))
     return base
 
 
@@ -86,7 +88,7 @@ _CLOSED = f"""{TRIPS_CTE}, {late_cte(3600)}, on_time AS (SELECT * FROM judged WH
 
 @query("stream_silver", f"WITH {_CLOSED} {silver_select()}")
 def stream_silver(spark, sf_dir):
-    base = _analytics_run(spark, sf_dir)
+    base = _analytics_run(spark, sf_dir, "silver")
     return read_silver(spark, f"{base}/silverData", "parquet").select(
         F.col("pickup_location_area").alias("area"),
         "trips",
@@ -106,7 +108,7 @@ def stream_silver(spark, sf_dir):
     FROM quality WHERE 1.0::DOUBLE - discarded::DOUBLE / n_rows::DOUBLE < 0.99""",
 )
 def stream_feed(spark, sf_dir):
-    base = _analytics_run(spark, sf_dir)
+    base = _analytics_run(spark, sf_dir, "feed")
     return spark.read.text([f"{base}/feed/{n}/{FEED_TOPIC}" for n in ("silver", "late", "alerts")])
 
 
@@ -118,7 +120,8 @@ def stream_feed(spark, sf_dir):
     SELECT line, count(*) AS n FROM lines GROUP BY 1""",
 )
 def stream_metric_log(spark, sf_dir):
-    lines = spark.read.text(f"{_analytics_run(spark, sf_dir)}/logs").withColumnRenamed("value", "line")
+    base = _analytics_run(spark, sf_dir, "logs")
+    lines = spark.read.text(f"{base}/logs").withColumnRenamed("value", "line")
     ratios = F.col("line").startswith("data quality") | F.col("line").startswith("records processed")
     return lines.filter(~ratios).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
 
@@ -128,7 +131,7 @@ def stream_metric_log(spark, sf_dir):
     f"WITH {_CLOSED} SELECT area::INTEGER AS pickup_location_area, {GOLD_SQL} FROM silver GROUP BY 1",
 )
 def stream_gold(spark, sf_dir):
-    base = _analytics_run(spark, sf_dir)
+    base = _analytics_run(spark, sf_dir, "silver")
     gold_batch(spark, base)
     gold_batch(spark, base)  # nothing new: writes nothing
     rows = spark.read.schema(GOLD).option("header", True).csv(f"{base}/goldData")
@@ -141,7 +144,7 @@ def stream_gold(spark, sf_dir):
 )
 def silver_csv_files(spark, sf_dir):
     base = fresh_dir(spark, "silver")
-    write_silver(hourly_silver(spark, sf_dir), base, fmt="csv")
+    write_silver(hourly_silver(spark, sf_dir), base, fmt="csv", period="day")
     return read_silver(spark, base).select(
         F.col("pickup_location_area").alias("area"),
         "trips",
@@ -169,7 +172,7 @@ def message_files(spark, sf_dir):
 def stream_chicago_table(spark, sf_dir):
     base = fresh_dir(spark, "chicago")
     messages = ingest_messages(stream_events(spark, sf_dir))
-    chicago_stream_ingest(messages, base).awaitTermination()
+    chicago_stream_ingest(messages, base, buckets=8).awaitTermination()
     return chicago_columns(read_table(spark, f"{base}/table"))
 
 
@@ -181,7 +184,7 @@ def stream_chicago_table(spark, sf_dir):
 )
 def stream_ny_table(spark, sf_dir):
     base = fresh_dir(spark, "ny")
-    ny_stream_ingest(ny_messages(stream_events(spark, sf_dir)), base).awaitTermination()
+    ny_stream_ingest(ny_messages(stream_events(spark, sf_dir)), base, buckets=8).awaitTermination()
     return ny_columns(read_table(spark, f"{base}/table"))
 
 
@@ -196,7 +199,7 @@ def stream_ny_table(spark, sf_dir):
 def stream_ingest_actions(spark, sf_dir):
     base = fresh_dir(spark, "ledger")
     messages = ingest_messages(stream_events(spark, sf_dir))
-    chicago_stream_ingest(messages, base).awaitTermination()
+    chicago_stream_ingest(messages, base, buckets=8).awaitTermination()
     status = ingest_status(read_ledger(spark, base), "30 minutes")
     return recommend_actions(status_warnings(status, limits(spark))).select(
         "tenant", "interval_no", "warning", "action"
@@ -232,7 +235,7 @@ def _stage(spark, sf_dir):
 )
 def batch_ingest_tables(spark, sf_dir):
     staging, agreements, tables = _stage(spark, sf_dir)
-    ingest_staged(spark, staging, agreements, tables)
+    ingest_staged(spark, staging, agreements, tables, buckets=8)
     rows = read_table(spark, tables).filter("table = 'trips'")
     return clean_columns(rows, "keyspace")
 
@@ -261,7 +264,7 @@ def decisions(spark, sf_dir):
 )
 def dynamic_ingest(spark, sf_dir):
     messages = trip_messages(table(spark, sf_dir, "events")).withColumn("consumer", F.col("seq") % 5)
-    summary = ingest_dynamic(messages, fresh_dir(spark, "dynamic"))
+    summary = ingest_dynamic(messages, fresh_dir(spark, "dynamic"), buckets=8)
     return summary.drop("seconds", "inserted_per_second")
 
 

@@ -14,7 +14,8 @@ FEED_TOPIC = "chicagotenant_analytics"
 
 
 def silver_analytics(messages, base, size=WINDOW_SIZE, delay=WATERMARK_DELAY,
-                     lateness=ALLOWED_LATENESS, fmt="parquet", feed="text", feed_options=None):
+                     lateness=ALLOWED_LATENESS, fmt="parquet", period="hour",
+                     feed="text", feed_options=None, outputs=("silver", "logs", "feed")):
     """Messages -> bronze -> silver files, window log and the tenant's feed, below ``base``.
 
     Takes the messages there are and returns when they are through; running it again with
@@ -24,24 +25,30 @@ def silver_analytics(messages, base, size=WINDOW_SIZE, delay=WATERMARK_DELAY,
     write_bronze(messages, f"{base}/bronze", size, delay, lateness).awaitTermination()
     spark = messages.sparkSession
     timing = (size, delay, lateness)
-    started = [
-        write_silver(
-            silver_stream(read_bronze(spark, f"{base}/bronze"), *timing),
-            f"{base}/silverData", f"{base}/_checkpoints/silver", fmt,
-        ),
-        write_metric_log(
-            quality_stream(read_bronze(spark, f"{base}/bronze"), *timing),
-            f"{base}/logs", f"{base}/_checkpoints/logs",
-        ),
-    ]
-    for name, texts in feed_streams(read_bronze(spark, f"{base}/bronze"), *timing).items():
+    checkpoints = f"{base}/_checkpoints"
+
+    def bronze():
+        return read_bronze(spark, f"{base}/bronze")
+
+    started = []
+    if "silver" in outputs:
+        silver_rows = silver_stream(bronze(), *timing)
         started.append(
-            write_messages(
-                texts, FEED_TOPIC, feed,
-                # Each writer of files needs a folder of its own; a topic is shared.
-                f"{base}/feed/{name}", f"{base}/_checkpoints/feed_{name}", feed_options,
-            )
+            write_silver(silver_rows, f"{base}/silverData", f"{checkpoints}/silver", fmt,
+                         period=period)
         )
+    if "logs" in outputs:
+        started.append(
+            write_metric_log(quality_stream(bronze(), *timing), f"{base}/logs",
+                             f"{checkpoints}/logs")
+        )
+    if "feed" in outputs:
+        for name, texts in feed_streams(bronze(), *timing).items():
+            # Each writer of files needs a folder of its own; a topic is shared.
+            started.append(
+                write_messages(texts, FEED_TOPIC, feed, f"{base}/feed/{name}",
+                               f"{checkpoints}/feed_{name}", feed_options)
+            )
     for query in started:
         query.awaitTermination()
 

@@ -58,7 +58,7 @@ def _staged_rows(spark, paths, ext, run):
     )
 
 
-def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None):
+def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None, buckets=64):
     """Ingest the admitted files of all tenants, one read per transform and file type.
 
     Rows go by key to the keyspace and table of the tenant's agreement, which are
@@ -88,6 +88,7 @@ def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None):
             table,
             CHICAGO_KEY,
             SOURCE_ORDER,
+            buckets,
             partition_cols=["keyspace", "table"],
         )
     return decisions

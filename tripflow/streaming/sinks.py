@@ -37,20 +37,22 @@ def write_messages(df, topic, fmt="kafka", path=None, checkpoint=None, options=N
     return writer.save(target) if target else writer.save()
 
 
-def silver_files(df, zone=HOUR_ZONE):
-    """Silver rows in the stored form with the hour of their directory."""
-    return silver_export(df).withColumn(
-        "hour", hour_dir(F.timestamp_millis("window_start_ts"), zone)
-    )
+def silver_files(df, zone=HOUR_ZONE, period="hour"):
+    """Silver rows in the stored form with the hour (or day) of their directory."""
+    directory = hour_dir(F.timestamp_millis("window_start_ts"), zone)
+    if period == "day":
+        directory = F.substring_index(directory, "--", 1)
+    return silver_export(df).withColumn("hour", directory)
 
 
-def write_silver(sdf, base, checkpoint=None, fmt="parquet", trigger=None):
+def write_silver(sdf, base, checkpoint=None, fmt="parquet", trigger=None, period="hour"):
     """Silver files in hourly directories, each row exactly once (the sink keeps a log).
 
-    Rows of an hour are brought together first, or each task would write a file per hour.
-    Silver is small: a row per area and window.
+    Rows of a directory are brought together first, or each task would write a file into
+    each of them. Silver is small: a row per area and window. ``period="day"`` makes daily
+    directories, for a backfill over months at once or for long windows.
     """
-    rows = silver_files(sdf)
+    rows = silver_files(sdf, period=period)
     if sdf.isStreaming:
         writer = rows.repartition("hour").writeStream.format(fmt).outputMode("append").partitionBy("hour")
         return (
