@@ -189,7 +189,7 @@ def agreements(nation):
         F.create_map(
             F.lit("csv"), F.lit(True), F.lit("json"), n % 4 == 0, F.lit("txt"), F.lit(False)
         ).alias("fileTypesSupported"),
-        F.when(n % 2 == 1, 150.0).otherwise(1000.0).alias("maxStagingStorage"),
+        F.when(n % 2 == 1, 150.0).otherwise(1_000_000.0).alias("maxStagingStorage"),
         F.when(n % 5 == 0, 79).otherwise(100).alias("maxNumFiles"),
         F.lit(10).alias("inputCheckInterval"),
         (n % 3 + 5).cast("double").alias("maxIngestionIntervalSize"),
@@ -290,7 +290,7 @@ files AS (
 ), agreement AS (
   SELECT n::VARCHAR AS tenant, n,
     CASE WHEN n % 5 = 0 THEN 79 ELSE 100 END AS max_files,
-    CASE WHEN n % 2 = 1 THEN 150 ELSE 1000 END AS max_mb,
+    CASE WHEN n % 2 = 1 THEN 150 ELSE 1000000 END AS max_mb,
     5 + n % 3 AS quota_mb, n % 4 = 0 AS json_ok
   FROM (SELECT n_nationkey AS n FROM nation UNION ALL SELECT max(n_nationkey) + 1 FROM nation)
 ), checked AS (

@@ -35,8 +35,9 @@ def parse_trips(df, schema, value="value"):
     )
     is_object = F.from_json(value, "MAP<STRING, STRING>").isNotNull()
     return (
-        df.withColumn("_parsed", parsed)
-        .select(*[F.col(f"`{c}`") for c in df.columns], "_parsed.*")
+        # The generator keeps filters on the fields above it. Pushed below, they would
+        # parse each message again for every field they test.
+        df.select("*", F.inline(F.array(parsed)))
         .withColumn(
             "malformed",
             F.when(F.col(value).isNull(), True)
@@ -110,25 +111,31 @@ def message_columns(messages, value="value", unused=CHICAGO_UNUSED):
     return columns
 
 
+def with_message_fields(messages, value="value"):
+    """Add ``_fields``, the message as a map of texts; NULL if it is no JSON object."""
+    fields = F.from_json(value, "MAP<STRING, STRING>")
+    return messages.select("*", F.explode(F.array(fields)).alias("_fields"))
+
+
+def message_texts(columns):
+    """The columns found by ``message_columns``, taken from ``_fields``."""
+    return [
+        # JSON NaN comes out of the map as the quoted text.
+        F.nullif(F.coalesce(*[F.col("_fields")[key] for key in keys]), F.lit('"NaN"')).alias(name)
+        for name, keys in columns.items()
+    ]
+
+
 def evolve_columns(df, messages, value="value"):
     """Append messages to a table; message keys the table lacks become new text columns.
 
     ``df`` may be None for a table that does not exist yet. Batch only.
     """
     columns = message_columns(messages, value)
-    fields = F.from_json(value, "MAP<STRING, STRING>")
     rows = (
-        messages.withColumn("_fields", fields)
+        with_message_fields(messages, value)
         .filter("_fields IS NOT NULL")
-        .select(
-            *[
-                # JSON NaN comes out of the map as the quoted text.
-                F.nullif(
-                    F.coalesce(*[F.col("_fields")[key] for key in keys]), F.lit('"NaN"')
-                ).alias(name)
-                for name, keys in columns.items()
-            ]
-        )
+        .select(*message_texts(columns))
     )
     if df is None:
         return rows

@@ -3,7 +3,6 @@
 from functools import reduce
 from operator import or_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -20,17 +19,19 @@ def latest_per_key(df, keys, order_cols):
     return df.withColumn("_rn", F.row_number().over(newest_first)).filter("_rn = 1").drop("_rn")
 
 
-def read_table(spark, table):
+def read_table(spark, table, evolving=False):
     """Rows of a keyed table; None if it does not exist yet."""
-    try:
-        return spark.read.parquet(f"{table}/rows").drop("bucket")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not exists(spark, f"{table}/rows"):
+        return None
+    return _stored(spark, table, evolving).drop("bucket")
 
 
-def upsert(df, table, keys, order_cols, buckets=64, batch_id=None, partition_cols=()):
+def _stored(spark, table, evolving):
+    return spark.read.option("mergeSchema", evolving).parquet(f"{table}/rows")
+
+
+def upsert(df, table, keys, order_cols, buckets=64, batch_id=None, partition_cols=(),
+           evolving=False):
     """Write rows by key: the row newest by ``order_cols`` replaces the one stored.
 
     The table is parquet, partitioned by ``partition_cols`` (part of the key) and a hash
@@ -38,6 +39,8 @@ def upsert(df, table, keys, order_cols, buckets=64, batch_id=None, partition_col
     merged rows are first written beside the table, then they overwrite those partitions.
     A repeat of the same batch, also after a crash half way, gives the same table: a
     finished merge is taken up again, an unfinished one is redone. One writer at a time.
+
+    ``evolving`` tables take new columns; their readers merge the schemas of all files.
     """
     spark = df.sparkSession
     all_keys = [*partition_cols, *keys]
@@ -48,7 +51,9 @@ def upsert(df, table, keys, order_cols, buckets=64, batch_id=None, partition_col
         bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
         incoming = latest_per_key(df, all_keys, order_cols).withColumn("bucket", bucket)
         if exists(spark, f"{table}/rows"):
-            stored = spark.read.parquet(f"{table}/rows")
+            stored = _stored(spark, table, evolving)
+            if not evolving and set(stored.columns) != set(incoming.columns):
+                raise ValueError(f"columns of {table} differ from those to be written")
             touched = _touched(df.withColumn("bucket", bucket), partition_cols)
             incoming = latest_per_key(
                 stored.filter(touched).unionByName(incoming, allowMissingColumns=True),

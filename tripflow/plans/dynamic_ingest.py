@@ -2,7 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from tripflow.operators.cleanse import message_columns, snake_name
+from tripflow.operators.cleanse import (
+    message_columns,
+    message_texts,
+    snake_name,
+    with_message_fields,
+)
 from tripflow.operators.ingest import ingest_summary
 from tripflow.operators.upsert import upsert
 from tripflow.schemas import CHICAGO_MESSAGE_KEY
@@ -16,20 +21,16 @@ def ingest_dynamic(messages, table, keys=CHICAGO_MESSAGE_KEY, buckets=16):
     """
     names = [snake_name(k) for k in keys]
     columns = message_columns(messages)
-    fields = F.from_json("value", "MAP<STRING, STRING>")
-    judged = messages.withColumn("_fields", fields)
+    judged = with_message_fields(messages)
     unusable = F.col("_fields").isNull()
     for key in keys:
         value = F.col("_fields")[key]
         unusable = unusable | value.isNull() | (value == '"NaN"')
     judged = judged.withColumn("disposition", F.when(unusable, "errored").otherwise("ok"))
     stored = judged.filter("disposition = 'ok'").select(
-        *[
-            F.nullif(F.coalesce(*[F.col("_fields")[k] for k in raw]), F.lit('"NaN"')).alias(name)
-            for name, raw in columns.items()
-        ],
+        *message_texts(columns),
         "ingest_ts",
         "seq",
     )
-    upsert(stored, table, names, ["ingest_ts", "seq"], buckets)
+    upsert(stored, table, names, ["ingest_ts", "seq"], buckets, evolving=True)
     return ingest_summary(judged)

@@ -38,9 +38,11 @@ def write_bronze(messages, base, size=WINDOW_SIZE, delay=WATERMARK_DELAY,
         numbered = batch.withColumn(
             "seq", F.coalesce("seq", F.monotonically_increasing_id())
         )
-        rows = analytics_reason(analytics_rows(numbered))
+        # Read twice: for the closing arrivals and for the rows.
+        rows = analytics_reason(analytics_rows(numbered)).persist()
         hidden = f"{base}/rows/_batch_{batch_id}"
         mark_late(rows, size, delay, lateness, seen).write.mode("overwrite").parquet(hidden)
+        rows.unpersist()
         newest = F.max(epoch_ms("event_time"))
         spark.read.schema(BRONZE).parquet(hidden).agg(
             F.greatest(newest, F.lit(seen).cast("bigint")).alias("seen_ms")
