@@ -260,17 +260,31 @@ def test_upsert_replaces_and_replays(spark, tmp_path):
     assert exists(spark, f"{table}/_merged/3") and not exists(spark, f"{table}/_merged/1")
 
 
-def test_upsert_takes_up_a_finished_merge(spark, tmp_path):
+@pytest.mark.parametrize("replay", [True, False])
+def test_upsert_takes_up_a_finished_merge(spark, tmp_path, monkeypatch, replay):
+    from tripflow.operators import upsert as module
+
     table, schema = str(tmp_path / "t"), "k INT, v STRING, at INT"
-    upsert(spark.createDataFrame([(1, "a", 1)], schema), table, ["k"], ["at"], 4, "q-0")
-    before = sorted(str(p) for p in (tmp_path / "t/rows").rglob("*.parquet"))
-    upsert(spark.createDataFrame([(1, "b", 2), (2, "c", 1)], schema), table, ["k"], ["at"], 4, "q-1")
-    # As after a crash in the middle of the overwrite: files of the table are gone.
-    for path in (tmp_path / "t/rows").rglob("*.parquet"):
-        path.unlink()
-    assert before
-    upsert(spark.createDataFrame([], schema), table, ["k"], ["at"], 4, "q-1")
-    assert {r.k: r.v for r in read_table(spark, table).collect()} == {1: "b", 2: "c"}
+    upsert(spark.range(20).selectExpr("CAST(id AS INT) AS k", "'a' AS v", "1 AS at"), table, ["k"], ["at"], 4, "q-0")
+    second = spark.createDataFrame([(k, "b", 2) for k in range(5, 25)], schema)
+
+    def crash(spark, source, target, depth):
+        # The first folder was deleted, but not replaced yet.
+        import shutil
+
+        shutil.rmtree(f"{target}/{next((tmp_path / 't/rows').glob('bucket=*')).name}")
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(module, "move_partitions", crash)
+        with pytest.raises(OSError):
+            upsert(second, table, ["k"], ["at"], 4, "q-1")
+    if replay:
+        upsert(second, table, ["k"], ["at"], 4, "q-1")
+    else:  # another batch comes first
+        upsert(spark.createDataFrame([(0, "a", 1)], schema), table, ["k"], ["at"], 4)
+    want = {k: "a" if k < 5 else "b" for k in range(25)}
+    assert {r.k: r.v for r in read_table(spark, table).collect()} == want
 
 
 def test_upsert_partitions_keep_tenants_apart(spark, tmp_path):

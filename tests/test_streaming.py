@@ -28,7 +28,7 @@ from tripflow.plans.stream_ingest import (
 )
 from tripflow.operators.monitor import default_limits
 from tripflow.schemas import AGREEMENT, CHICAGO_KEY, GOLD
-from tripflow.sources.files import read_silver
+from tripflow.sources.files import read_silver, stream_staged_csv
 from tripflow.sources.messages import read_messages
 from tripflow.streaming.bronze import read_bronze, write_bronze
 from tripflow.streaming.runs import live_status, run_gold_incremental, silver_stream
@@ -121,6 +121,21 @@ def test_silver_over_batches_and_restarts(spark, tmp_path, seed):
     assert counted == closed.agg(F.sum("rows")).first()[0]
 
 
+def test_continuous_run_equals_batch(spark, tmp_path):
+    files, folder, base = captured(9, 3, 80), tmp_path / "topic", str(tmp_path / "run")
+    put(folder, 0, files[0])
+    queries = silver_analytics(topic(spark, folder), base, outputs=("silver",), trigger={"processingTime": "1 second"})
+    try:
+        for number in (1, 2):
+            put(folder, number, files[number])
+            queries[0].processAllAvailable()
+            queries[1].processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    assert rows_of(read_silver(spark, f"{base}/silverData", "parquet")) == rows_of(closed_silver(spark, folder))
+
+
 def test_bronze_replay_adds_nothing(spark, tmp_path):
     files, folder, base = captured(3, 3, 60), tmp_path / "topic", tmp_path / "bronze"
     for number, rows in enumerate(files):
@@ -303,6 +318,15 @@ def test_batch_sinks(spark, tmp_path):
     assert ingest_status(ledger).agg(F.sum("rows_processed")).first()[0] == 50
 
 
+def test_staged_stream_deletes_taken_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in "ab":
+        (tmp_path / f"in/{name}.csv").write_text("k,v\n1,x\n")
+        rows = stream_staged_csv(spark, str(tmp_path / "in"), "k INT, v STRING", "delete")
+        start(rows, str(tmp_path / "ck"), str(tmp_path / "out")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
 def test_staged_ingest_by_interval(spark, tmp_path):
     header = ("Trip ID,Taxi ID,Trip Start Timestamp,Trip End Timestamp,Trip Seconds,Trip Miles,Pickup Census Tract,"
               "Dropoff Census Tract,Pickup Community Area,Dropoff Community Area,Fare,Tips,Tolls,Extras,Trip Total,"
@@ -326,7 +350,8 @@ def test_staged_ingest_by_interval(spark, tmp_path):
 
     ingest_staged(spark, str(tmp_path / "staging"), agreements, table, 0, [0], 2)
     assert totals() == {"t1": 1.0, "t2": 2.0}  # quota of 100 bytes: one file per interval
-    decisions = ingest_staged(spark, str(tmp_path / "staging"), agreements, table, 1, [1], 2)
+    decisions = ingest_staged(spark, str(tmp_path / "staging"), agreements, table, 1, [1], 2, delete=True)
+    assert sorted(p.name for p in folder.glob("*.*") if not p.name.startswith(".")) == ["a.csv", "c.txt"]
     assert totals() == {"t1": 5.0, "t2": 2.0}
     assert {r.file: (r.accepted, r.interval_no) for r in decisions.collect()} == {
         "a.csv": (True, 0), "b.csv": (True, 1), "c.txt": (False, None)}

@@ -48,7 +48,7 @@ def _plain(df, *money):
     return df.withColumns({c: F.col(c).cast("double") for c in money})
 
 
-def _silver_columns(key="area"):
+def silver_columns(key="area"):
     return [
         F.col(key),
         "trips",
@@ -66,12 +66,12 @@ def silver_select(hours_ms=3600000, source="silver"):
 
 @query("silver_area_hour", f"WITH {TRIPS_CTE}, {silver_cte(3600)} {silver_select()}")
 def silver_area_hour(spark, sf_dir):
-    return hourly_silver(spark, sf_dir).select(*_silver_columns())
+    return hourly_silver(spark, sf_dir).select(*silver_columns())
 
 
 @query("silver_area_minute", f"WITH {TRIPS_CTE}, {silver_cte(60)} {silver_select(60000)}")
 def silver_area_minute(spark, sf_dir):
-    return silver(judged_rows(spark, sf_dir)).select(*_silver_columns())
+    return silver(judged_rows(spark, sf_dir)).select(*silver_columns())
 
 
 @query(
@@ -88,7 +88,7 @@ def silver_event_type_minute(spark, sf_dir):
         F.col("value").cast("DECIMAL(18,2)").alias("total"),
         F.lit("good").alias("reason"),
     )
-    return silver(rows, key="event_type").select(*_silver_columns("event_type"))
+    return silver(rows, key="event_type").select(*silver_columns("event_type"))
 
 
 @query(
@@ -102,7 +102,7 @@ def silver_event_type_minute(spark, sf_dir):
     FROM slide GROUP BY area, window_start_ms""",
 )
 def sliding_silver(spark, sf_dir):
-    return silver(judged_rows(spark, sf_dir), HOUR, "30 minutes").select(*_silver_columns())
+    return silver(judged_rows(spark, sf_dir), HOUR, "30 minutes").select(*silver_columns())
 
 
 @query(
@@ -314,7 +314,7 @@ def late_minute(spark, sf_dir):
     f"{silver_cte(3600, 'on_time')} {silver_select()}",
 )
 def on_time_silver(spark, sf_dir):
-    return silver(on_time_rows(judged_rows(spark, sf_dir), HOUR), HOUR).select(*_silver_columns())
+    return silver(on_time_rows(judged_rows(spark, sf_dir), HOUR), HOUR).select(*silver_columns())
 
 
 LINE_SQL = """area || ',' || trips || ',' || total_fares::DECIMAL(18,2) || ','

@@ -301,6 +301,6 @@ files AS (
 ), admitted AS (
   SELECT a.tenant, coalesce(num_files, 0) AS num_files, coalesce(used_bytes, 0) AS used_bytes,
     CASE WHEN num_files IS NULL THEN 'no_files' WHEN num_files > max_files THEN 'too_many_files'
-         WHEN used_bytes > max_mb * 1000000 THEN 'storage_exceeded' ELSE 'admitted' END AS decision
+         WHEN used_bytes > max_mb * 1000000::BIGINT THEN 'storage_exceeded' ELSE 'admitted' END AS decision
   FROM agreement a LEFT JOIN usage USING (tenant)
 )"""

@@ -11,6 +11,7 @@ from tripflow.catalog.analytics import (
     LINE_SQL,
     gold_columns,
     hourly_silver,
+    silver_columns,
     silver_select,
 )
 from tripflow.catalog.fixtures import (
@@ -31,6 +32,7 @@ from tripflow.catalog.ingest import (
     CHICAGO_SQL,
     CLEAN_SQL,
     KEPT_OUT,
+    LEDGER_CTE,
     NY_SQL,
     UPSERT_KEY,
     UPSERT_ORDER,
@@ -44,8 +46,9 @@ from tripflow.catalog.ingest import (
     status_cte,
 )
 from tripflow.catalog.registry import ORACLES, query
-from tripflow.operators.ingest import activity_sessions, ingest_status
+from tripflow.operators.ingest import activity_sessions, ingest_status, run_report
 from tripflow.operators.monitor import recommend_actions, status_warnings
+from tripflow.operators.trips import drop_repeats
 from tripflow.operators.upsert import read_table, upsert
 from tripflow.plans.analytics import FEED_TOPIC, gold_batch, silver_analytics
 from tripflow.plans.batch_ingest import ingest_staged, staging_decisions
@@ -54,9 +57,17 @@ from tripflow.plans.stream_ingest import chicago_stream_ingest, ny_stream_ingest
 from tripflow.schemas import AGREEMENT, GOLD
 from tripflow.session import fresh_dir
 from tripflow.sources.agreements import read_agreements
-from tripflow.sources.files import read_silver
+from tripflow.sources.files import new_silver, read_silver
 from tripflow.sources.messages import read_messages
-from tripflow.streaming.sinks import start, write_messages, write_silver
+from tripflow.streaming.bronze import read_bronze, write_bronze
+from tripflow.streaming.runs import live_status, silver_stream
+from tripflow.streaming.sinks import (
+    start,
+    upsert_sink,
+    write_messages,
+    write_run_report,
+    write_silver,
+)
 
 
 def stream_events(spark, sf_dir):
@@ -308,3 +319,83 @@ def stream_sessions(spark, sf_dir):
         "discarded",
         "errored",
     )
+
+
+@query(
+    "stream_silver_updates",
+    f"WITH {TRIPS_CTE}, {late_cte(3600)}, on_time AS (SELECT * FROM judged WHERE NOT late), "
+    f"{silver_cte(3600, 'on_time')} {silver_select()}",
+)
+def stream_silver_updates(spark, sf_dir):
+    """A live silver table: each change of a window, open ones too, replaces its row."""
+    base = fresh_dir(spark, "updates")
+    write_bronze(trip_messages(stream_events(spark, sf_dir)), base, HOUR).awaitTermination()
+    store = upsert_sink(f"{base}/live", ["area", "window_start"], ["trips"], buckets=8)
+    (
+        silver_stream(read_bronze(spark, base), HOUR)
+        .writeStream.outputMode("update")
+        .foreachBatch(store)
+        .option("checkpointLocation", f"{base}/_live")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return read_table(spark, f"{base}/live").select(*silver_columns())
+
+
+@query(
+    "stream_live_status",
+    f"""WITH {LEDGER_CTE} SELECT tenant AS tenant_id, count(*) AS rows_processed,
+          count(*) FILTER (disposition = 'discarded') AS discarded_rows FROM led GROUP BY 1""",
+)
+def stream_live_status(spark, sf_dir):
+    base = fresh_dir(spark, "live")
+
+    def keep(status, batch_id):
+        status.write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
+
+    rows = ledger(stream_events(spark, sf_dir))
+    live_status(rows, keep, f"{base}/_checkpoint", {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(base).select("tenant_id", "rows_processed", "discarded_rows")
+
+
+@query(
+    "run_report_files",
+    sessions_cte(1200) + """ SELECT tenant, inserted AS "rows", round(inserted * 48 / 1000.0, 3) AS total_size,
+      round((last_us - start_us) / 1e6, 3) AS total_time FROM runs""",
+)
+def run_report_files(spark, sf_dir):
+    base = fresh_dir(spark, "reports")
+    write_run_report(run_report(ledger(table(spark, sf_dir, "events")), "20 minutes"), base)
+    fields = F.from_json("value", "total_time DOUBLE, rows BIGINT, total_size DOUBLE")
+    reports = spark.read.schema("value STRING, tenant STRING").text(base)
+    return reports.select("tenant", F.inline(F.array(fields))).select(
+        "tenant",
+        "rows",
+        F.round("total_size", 3).alias("total_size"),
+        F.round("total_time", 3).alias("total_time"),
+    )
+
+
+@query(
+    "new_silver_days",
+    f"""WITH {TRIPS_CTE}, {silver_cte(3600)} SELECT DISTINCT
+      'hour=' || strftime(window_start::TIMESTAMP + INTERVAL 2 HOUR, '%Y-%m-%d') AS directory FROM silver
+      WHERE strftime(window_start::TIMESTAMP + INTERVAL 2 HOUR, '%Y-%m-%d') <> '2024-01-10'""",
+)
+def new_silver_days(spark, sf_dir):
+    base = fresh_dir(spark, "silver")
+    write_silver(hourly_silver(spark, sf_dir), base, fmt="csv", period="day")
+    taken = new_silver(spark, base, "hour=2024-01-10")
+    directory = F.element_at(F.split("path", "/"), -2).alias("directory")
+    return new_silver(spark, base, done=taken).select(directory).distinct()
+
+
+@query("stream_unique", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_unique(spark, sf_dir):
+    base = fresh_dir(spark, "unique")
+    keys = ["user_id", "event_type"]
+    rows = stream_events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    unique = drop_repeats(rows, keys, "ts", "30 days").select(*keys)
+    start(unique, f"{base}/_checkpoint", f"{base}/rows").awaitTermination()
+    return spark.read.schema("user_id BIGINT, event_type STRING").parquet(f"{base}/rows")

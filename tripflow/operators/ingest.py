@@ -109,6 +109,11 @@ def activity_sessions(df, gap=SILENCE_LIMIT):
     seconds = interval_seconds(gap)
     counts = _run_counts()
     if df.isStreaming:
+        # Sessions are merged within each task before the shuffle, so a busy tenant sends
+        # one row per session and task instead of every message.
+        df.sparkSession.conf.set(
+            "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
+        )
         return (
             df.groupBy("tenant", F.session_window("ingest_ts", f"{seconds} seconds").alias("run"))
             .agg(

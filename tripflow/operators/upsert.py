@@ -6,7 +6,7 @@ from operator import or_
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tripflow.streaming.files import delete_others, exists
+from tripflow.streaming.files import delete_others, exists, move_partitions, sub_folders
 
 
 def latest_per_key(df, keys, order_cols):
@@ -35,10 +35,11 @@ def upsert(df, table, keys, order_cols, buckets=64, batch_id=None, partition_col
     """Write rows by key: the row newest by ``order_cols`` replaces the one stored.
 
     The table is parquet, partitioned by ``partition_cols`` (part of the key) and a hash
-    of the key. Only the partitions that occur in ``df`` are read and written back. The
-    merged rows are first written beside the table, then they overwrite those partitions.
-    A repeat of the same batch, also after a crash half way, gives the same table: a
-    finished merge is taken up again, an unfinished one is redone. One writer at a time.
+    of the key; choose ``buckets`` so that one holds about a gigabyte. Only the partitions
+    that occur in ``df`` are read, merged and replaced. The merged partitions are written
+    beside the table, then moved into it. A repeat of the same batch, also after a crash
+    half way, gives the same table: each call first moves what a finished merge has left,
+    and an unfinished merge is redone. One writer at a time.
 
     ``evolving`` tables take new columns; their readers merge the schemas of all files.
     """
@@ -47,32 +48,34 @@ def upsert(df, table, keys, order_cols, buckets=64, batch_id=None, partition_col
     place = [*partition_cols, "bucket"]
     keep = "once" if batch_id is None else str(batch_id)
     merged_path = f"{table}/_merged/{keep}"
-    if batch_id is None or not exists(spark, f"{merged_path}/_SUCCESS"):
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        incoming = latest_per_key(df, all_keys, order_cols).withColumn("bucket", bucket)
-        if exists(spark, f"{table}/rows"):
-            stored = _stored(spark, table, evolving)
-            if not evolving and set(stored.columns) != set(incoming.columns):
-                raise ValueError(f"columns of {table} differ from those to be written")
-            touched = _touched(df.withColumn("bucket", bucket), partition_cols)
-            incoming = latest_per_key(
-                stored.filter(touched).unionByName(incoming, allowMissingColumns=True),
-                all_keys,
-                order_cols,
-            )
-        incoming.write.mode("overwrite").parquet(merged_path)
-    (
-        spark.read.parquet(merged_path)
-        # Splits large partitions and joins small ones, so files get a sensible size.
-        .hint("rebalance", *place)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*place)
-        .parquet(f"{table}/rows")
-    )
+    for name in sub_folders(spark, f"{table}/_merged"):
+        _move_finished(spark, table, name, len(place))
+    if batch_id is not None and exists(spark, f"{merged_path}/_SUCCESS"):
+        return
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    rows = latest_per_key(df, all_keys, order_cols).withColumn("bucket", bucket)
+    if exists(spark, f"{table}/rows"):
+        stored = _stored(spark, table, evolving)
+        if not evolving and set(stored.columns) != set(rows.columns):
+            raise ValueError(f"columns of {table} differ from those to be written")
+        touched = _touched(df.withColumn("bucket", bucket), partition_cols)
+        both = stored.filter(touched).unionByName(rows, allowMissingColumns=True)
+        # Keys are unique on both sides, so buckets are even; with rows in place by
+        # bucket, the newest of each key needs no shuffle of its own.
+        rows = latest_per_key(both.repartition(*place), [*place, *keys], order_cols)
+    else:
+        rows = rows.repartition(*place)
+    rows.write.mode("overwrite").partitionBy(*place).parquet(merged_path)
+    _move_finished(spark, table, keep, len(place))
     delete_others(spark, f"{table}/_merged", keep)
 
 
+def _move_finished(spark, table, name, depth):
+    """Move what a finished merge has left; nothing is left unless a run was cut off."""
+    if exists(spark, f"{table}/_merged/{name}/_SUCCESS"):
+        move_partitions(spark, f"{table}/_merged/{name}", f"{table}/rows", depth)
+
+
 def _touched(df, partition_cols):
     """Filter for the partitions that occur: only their names reach the driver."""
     numbers = F.array_sort(F.collect_set("bucket")).alias("buckets")

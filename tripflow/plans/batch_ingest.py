@@ -13,7 +13,9 @@ from tripflow.operators.sla import admission, file_type_check, quota_batches
 from tripflow.operators.upsert import upsert
 from tripflow.plans.registry import register_pipeline, transform_for
 from tripflow.schemas import CHICAGO_KEY, CHICAGO_RAW
+from tripflow.session import settle
 from tripflow.sources.files import list_staged, read_staged
+from tripflow.streaming.files import delete_files
 
 # Staged times are US 12-hour texts, so all columns of a CSV row are read as declared texts
 # or numbers; these columns say where a row came from and which of two rows is newer.
@@ -58,16 +60,19 @@ def _staged_rows(spark, paths, ext, run):
     )
 
 
-def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None, buckets=64):
+def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None, buckets=64,
+                  delete=False):
     """Ingest the admitted files of all tenants, one read per transform and file type.
 
     Rows go by key to the keyspace and table of the tenant's agreement, which are
     partitions of ``table``; a row of a later run, or later file, replaces an earlier one.
-    ``intervals`` keeps the files of those quota intervals. Returns the decisions.
+    ``intervals`` keeps the files of those quota intervals; ``delete`` removes the files
+    that were ingested, never a rejected one. Returns the decisions, among them those of
+    the rejected files.
 
     Only file names reach the driver, at most ``maxNumFiles`` per tenant.
     """
-    decisions = staging_decisions(spark, staging_dir, agreements)
+    decisions = settle(staging_decisions(spark, staging_dir, agreements), "decisions")
     taken = decisions.filter("interval_no IS NOT NULL")
     if intervals is not None:
         taken = taken.filter(F.col("interval_no").isin(list(intervals)))
@@ -91,4 +96,6 @@ def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None,
             buckets,
             partition_cols=["keyspace", "table"],
         )
+        if delete:
+            delete_files(spark, paths)
     return decisions

@@ -20,9 +20,6 @@ def build_session(app="tripflow", master=None, **conf):
         # committed to the checkpoint folder.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        # Merge the sessions of one tenant before the shuffle, so a busy tenant
-        # sends one row per session and task instead of every message.
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
@@ -50,8 +47,12 @@ def shared_root(spark):
 
 
 def fresh_dir(spark, label):
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/tripflow/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses.
+
+    All paths of an application have one parent, so they can be deleted together after it.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/tripflow/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df, label):

@@ -31,6 +31,18 @@ def read_staged(spark, path, ext, schema):
     raise ValueError(f"no reader for files of type {ext!r}")
 
 
+def stream_staged_csv(spark, directory, schema, after="off", archive_dir=None):
+    """New staged CSV files as a stream; ``after`` is what becomes of taken files.
+
+    ``off`` keeps them, ``archive`` moves them below ``archive_dir``, ``delete`` deletes
+    them. The checkpoint is what prevents a second read.
+    """
+    reader = spark.readStream.schema(schema).option("header", True).option("cleanSource", after)
+    if archive_dir:
+        reader = reader.option("sourceArchiveDir", archive_dir)
+    return reader.csv(directory)
+
+
 def read_silver(spark, paths, fmt="csv"):
     """Silver files in one read; CSV ones have no header, columns go by position."""
     rows = spark.read.schema(SILVER).option("recursiveFileLookup", True)

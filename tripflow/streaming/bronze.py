@@ -59,7 +59,7 @@ def write_bronze(messages, base, size=WINDOW_SIZE, delay=WATERMARK_DELAY,
 
 def read_bronze(spark, base, streaming=True, files_per_batch=None):
     """Bronze rows; a file never holds rows of two batches."""
-    reader = (spark.readStream if streaming else spark.read).schema(BRONZE)
+    reader = (spark.readStream if streaming else spark.read).schema(BRONZE + ", batch_id BIGINT")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(f"{base}/rows").drop("batch_id")

@@ -9,6 +9,8 @@ from tripflow.operators.windows import silver_export
 
 HOUR_ZONE = "Europe/Helsinki"
 AVAILABLE_NOW = {"availableNow": True}
+# Fixed value: a new part of each output every 5 seconds.
+CONTINUOUS = {"processingTime": "5 seconds"}
 
 
 def start(sdf, checkpoint, path=None, fmt="parquet", mode="append", trigger=None, **options):
