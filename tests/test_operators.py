@@ -272,6 +272,8 @@ def test_upsert_takes_up_a_finished_merge(spark, tmp_path, monkeypatch, replay):
         # The first folder was deleted, but not replaced yet.
         import shutil
 
+        if not source.endswith("q-1"):
+            return
         shutil.rmtree(f"{target}/{next((tmp_path / 't/rows').glob('bucket=*')).name}")
         raise OSError("driver lost")
 
