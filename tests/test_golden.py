@@ -79,7 +79,7 @@ def test_alert_and_log_texts(spark):
 
 def agreement(tenant, **limits):
     terms = {
-        "id": tenant, "pipeline": "batch_ingest_pipeline.py", "fileStorageLocation": f"/{tenant}",
+        "id": tenant, "pipeline": "clean_chicago", "fileStorageLocation": f"/{tenant}",
         "coredmsKeyspace": tenant, "coredmsTable": "trips",
         "fileTypesSupported": {"csv": True, "json": False, "txt": False, "xml": False},
         "maxStagingStorage": 50.0, "maxNumFiles": 10, "inputCheckInterval": 60,

@@ -341,7 +341,7 @@ def test_staged_ingest_by_interval(spark, tmp_path):
     (folder / "a.csv").write_text("\n".join([header, line("t1", 1), line("t2", 1), line("t2", 2)]))
     (folder / "b.csv").write_text("\n".join([header, line("t1", 5)]))
     (folder / "c.txt").write_text("junk")
-    terms = ("t", "batch_ingest_pipeline.py", "/t", "space", "trips", {"csv": True}, 1.0, 5, 10, 0.0001, 10)
+    terms = ("t", "clean_chicago", "/t", "space", "trips", {"csv": True}, 1.0, 5, 10, 0.0001, 10)
     agreements = spark.createDataFrame([terms], AGREEMENT)
     table = str(tmp_path / "table")
 

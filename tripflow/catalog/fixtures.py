@@ -5,6 +5,9 @@ Faults are planted by the number of an event, so both sides agree on every row.
 
 from pyspark.sql import functions as F
 
+from tripflow.schemas import LIMITS
+from tripflow.session import spread
+
 TENANTS = ["chicagotenant", "nytenant", "thirdtenant"]
 LIMIT_ROWS = [
     ("chicagotenant", 10.0, 1, 0.2),
@@ -72,7 +75,7 @@ def _total():
 def _messages(events, *fields):
     body = F.when(nth(101), "not json").otherwise(_object(*fields))
     tenant = F.element_at(F.array(*[F.lit(t) for t in TENANTS]), (F.col("event_id") % 3 + 1).cast("int"))
-    rows = with_arrival(events)
+    rows = with_arrival(events if events.isStreaming else spread(events))
     return rows.select(
         body.alias("value"),
         F.concat(tenant, F.lit("_trips")).alias("topic"),
@@ -153,8 +156,6 @@ def ledger(events):
 
 
 def limits(spark):
-    from tripflow.schemas import LIMITS
-
     return spark.createDataFrame(LIMIT_ROWS, LIMITS)
 
 
@@ -182,7 +183,7 @@ def agreements(nation):
     n = F.col("n")
     return ids.select(
         n.cast("string").alias("id"),
-        F.lit("batch_ingest_pipeline.py").alias("pipeline"),
+        F.lit("clean_chicago").alias("pipeline"),
         F.concat(F.lit("/tenant"), n.cast("string")).alias("fileStorageLocation"),
         F.concat(F.lit("keyspace"), n.cast("string")).alias("coredmsKeyspace"),
         F.lit("trips").alias("coredmsTable"),

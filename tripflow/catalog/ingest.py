@@ -210,7 +210,7 @@ def clean_trips(spark, sf_dir):
 @query("tenant_transform", f"SELECT {CLEAN_SQL} FROM events")
 def tenant_transform(spark, sf_dir):
     raw = staged_trips(events(spark, sf_dir))
-    return clean_columns(run_tenant("batch_ingest_pipeline.py", raw, "chicagotenant", "/chicago"))
+    return clean_columns(run_tenant("clean_chicago", raw, "chicagotenant", "/chicago"))
 
 
 @query(
@@ -397,7 +397,7 @@ def reports(spark, sf_dir):
       || printf('%.1f%%', inserted * 100.0 / n_rows) || '"},"ingestion_start":"'
       || strftime(make_timestamp(start_us), '%Y-%m-%dT%H:%M:%SZ') || '","ingestion_end":"'
       || strftime(make_timestamp(last_us), '%Y-%m-%dT%H:%M:%SZ')
-      || '","cassandra_keyspaces":["taxiservices"],"cassandra_tables":["trips"]}' AS lineage
+      || '","cassandra_keyspaces":["trip_space"],"cassandra_tables":["trips"]}' AS lineage
     FROM runs WHERE n_rows IN (1, 2, 4, 5, 8, 10, 20)""",
 )
 def lineage(spark, sf_dir):
@@ -407,7 +407,7 @@ def lineage(spark, sf_dir):
         sessions.filter(F.col("rows").isin(1, 2, 4, 5, 8, 10, 20)),
         ["trip_id", "trip_total"],
         {"trip_id": "keep", "trip_total": "to_decimal"},
-        "taxiservices",
+        "trip_space",
         "trips",
     )
     return records.select("tenant", "lineage")

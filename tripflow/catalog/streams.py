@@ -55,7 +55,7 @@ from tripflow.plans.batch_ingest import ingest_staged, staging_decisions
 from tripflow.plans.dynamic_ingest import ingest_dynamic
 from tripflow.plans.stream_ingest import chicago_stream_ingest, ny_stream_ingest, read_ledger
 from tripflow.schemas import AGREEMENT, GOLD
-from tripflow.session import fresh_dir
+from tripflow.session import fresh_dir, spread
 from tripflow.sources.agreements import read_agreements
 from tripflow.sources.files import new_silver, read_silver
 from tripflow.sources.messages import read_messages
@@ -71,12 +71,13 @@ from tripflow.streaming.sinks import (
 
 
 def stream_events(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    return (
-        spark.readStream.schema(schema)
+    whole = table(spark, sf_dir, "events")
+    stream = (
+        spark.readStream.schema(whole.schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
+    return spread(stream, like=whole)
 
 
 def _analytics_run(spark, sf_dir, output):
@@ -230,7 +231,7 @@ def _stage(spark, sf_dir):
             writer = rows.repartition(4).write.option("header", True)
             getattr(writer, ext)(target)
     terms = [
-        (t, "batch_ingest_pipeline.py", f"/{t}", f"{t}_space", "trips",
+        (t, "clean_chicago", f"/{t}", f"{t}_space", "trips",
          {"csv": True, "json": True, "txt": False}, 1e6, 1000, 10, 1e6, 10)
         for t in TENANTS
     ]

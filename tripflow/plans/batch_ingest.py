@@ -27,7 +27,7 @@ def clean_chicago(df):
     return fill_area(cast_trips(snake_columns(drop_unused(df)), CHICAGO_CASTS))
 
 
-register_pipeline("batch_ingest_pipeline.py", clean_chicago)
+register_pipeline("clean_chicago", clean_chicago)
 
 
 def staging_decisions(spark, staging_dir, agreements):
