@@ -38,6 +38,12 @@ def alert_message():
     )
 
 
+def _number_text(c):
+    """Text of a number; 0.0005 stays that, where a plain cast gives 5.0E-4."""
+    short = F.regexp_replace(c.cast("string"), r"^(-?)(\d)\.0E-4$", "$10.000$2")
+    return F.regexp_replace(short, r"^(-?)(\d)\.(\d+)E-4$", "$10.000$2$3")
+
+
 def metric_log_block():
     """Seven log lines of a window-quality row."""
     lines = [
@@ -51,7 +57,7 @@ def metric_log_block():
     ]
     return F.concat_ws(
         "\n",
-        *[F.concat(F.lit(name), F.coalesce(c.cast("string"), F.lit("None"))) for name, c in lines],
+        *[F.concat(F.lit(name), F.coalesce(_number_text(c), F.lit("None"))) for name, c in lines],
     )
 
 
