@@ -32,7 +32,14 @@ from tripflow.sources.files import read_silver, stream_staged_csv
 from tripflow.sources.messages import read_messages
 from tripflow.streaming.bronze import read_bronze, write_bronze
 from tripflow.streaming.runs import live_status, run_gold_incremental, silver_stream
-from tripflow.streaming.sinks import fan_out, start, write_gold, write_metric_log, write_run_report
+from tripflow.streaming.sinks import (
+    fan_out,
+    silver_files,
+    start,
+    write_gold,
+    write_metric_log,
+    write_run_report,
+)
 
 NOW = datetime(2024, 1, 10, 12, tzinfo=timezone.utc)
 
@@ -159,7 +166,7 @@ def test_gold_runs_once_per_file(spark, tmp_path):
             silver_analytics(topic(spark, folder), base, outputs=("silver",))
             gold_batch(spark, base)
             gold_batch(spark, base)
-    parts = spark.read.schema(GOLD).option("header", True).csv(f"{base}/goldData").drop("batch_id")
+    parts = spark.read.schema(GOLD).option("header", True).csv(f"{base}/goldData")
     totals = parts.groupBy("pickup_location_area").agg(F.sum("trips"), F.sum("sum_fares"))
     whole = gold(read_silver(spark, f"{base}/silverData", "parquet"))
     assert rows_of(totals) == rows_of(whole.select("pickup_location_area", "trips", "sum_fares"))
@@ -309,7 +316,7 @@ def test_batch_sinks(spark, tmp_path):
     write_metric_log(quality_ratios(window_quality(judged)), str(tmp_path / "log"))
     windows = window_quality(judged).count()
     assert spark.read.text(str(tmp_path / "log")).count() == 7 * windows
-    write_gold(gold(silver_export(silver(judged))), str(tmp_path / "gold"))
+    write_gold(gold(silver_files(silver(judged)), "hour"), str(tmp_path / "gold"))
     assert spark.read.option("header", True).csv(str(tmp_path / "gold")).count() > 0
     ledger = judged.select(F.lit("a").alias("tenant"), "ingest_ts", F.lit("ok").alias("disposition"))
     write_run_report(run_report(ledger), str(tmp_path / "reports"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripflow.schemas import LIMITS
 from tripflow.session import spread
+from tripflow.sources.files import read_trips_parquet
 
 TENANTS = ["chicagotenant", "nytenant", "thirdtenant"]
 LIMIT_ROWS = [
@@ -17,7 +18,7 @@ LIMIT_ROWS = [
 
 
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_trips_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def nth(n):

@@ -391,10 +391,12 @@ def reports(spark, sf_dir):
 @query(
     "lineage_record",
     sessions_cte(1200) + """ SELECT tenant, '{"tenant_id":"' || tenant
-      || '","source":{"schema":["trip_id","trip_total"],"type":"json"},"processing":{"trip_id":"keep","trip_total":"to_decimal"},'
+      || '","user_id":"user_1","source":{"schema":["trip_id","trip_total"],"type":"json"},"processing":{"trip_id":"keep","trip_total":"to_decimal"},'
       || '"ingestion_result":{"total_rows_processed":' || n_rows || ',"total_rows_discarded":' || discarded
       || ',"successful_db_inserts":' || inserted || ',"failed_db_inserts":' || errored || ',"success_rate":"'
-      || printf('%.1f%%', inserted * 100.0 / n_rows) || '"},"ingestion_start":"'
+      || printf('%.1f%%', inserted * 100.0 / n_rows) || '"' || CASE WHEN last_us > start_us
+         THEN ',"rows_inserted_per_second":' || floor(inserted / ((last_us - start_us) / 1e6))::BIGINT ELSE '' END
+      || '},"ingestion_start":"'
       || strftime(make_timestamp(start_us), '%Y-%m-%dT%H:%M:%SZ') || '","ingestion_end":"'
       || strftime(make_timestamp(last_us), '%Y-%m-%dT%H:%M:%SZ')
       || '","cassandra_keyspaces":["trip_space"],"cassandra_tables":["trips"]}' AS lineage
@@ -409,6 +411,7 @@ def lineage(spark, sf_dir):
         {"trip_id": "keep", "trip_total": "to_decimal"},
         "trip_space",
         "trips",
+        user_id="user_1",
     )
     return records.select("tenant", "lineage")
 

@@ -140,14 +140,17 @@ def stream_metric_log(spark, sf_dir):
 
 @query(
     "stream_gold",
-    f"WITH {_CLOSED} SELECT area::INTEGER AS pickup_location_area, {GOLD_SQL} FROM silver GROUP BY 1",
+    f"""WITH {_CLOSED} SELECT area::INTEGER AS pickup_location_area,
+      strftime(window_start::TIMESTAMP + INTERVAL 2 HOUR, '%Y-%m-%d') AS directory, {GOLD_SQL}
+    FROM silver GROUP BY 1, 2""",
 )
 def stream_gold(spark, sf_dir):
     base = _analytics_run(spark, sf_dir, "silver")
     gold_batch(spark, base)
     gold_batch(spark, base)  # nothing new: writes nothing
-    rows = spark.read.schema(GOLD).option("header", True).csv(f"{base}/goldData")
-    return gold_columns(rows.drop("batch_id"))
+    rows = spark.read.schema(GOLD + ", batch_id BIGINT, hour STRING").option("header", True)
+    stored = rows.csv(f"{base}/goldData").withColumnRenamed("hour", "directory")
+    return gold_columns(stored.drop("batch_id"))
 
 
 @query(

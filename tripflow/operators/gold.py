@@ -15,21 +15,21 @@ def _totals():
     ]
 
 
-def gold(silver):
-    """Trips and fares per area over all windows."""
-    return silver.groupBy("pickup_location_area").agg(*_totals())
+def gold(silver, *more_keys):
+    """Trips and fares per area over all windows (and per further columns)."""
+    return silver.groupBy("pickup_location_area", *more_keys).agg(*_totals())
 
 
 def gold_by_day(silver):
     """Trips and fares per area and day."""
     day = F.to_date(F.timestamp_millis("window_start_ts")).alias("day")
-    return silver.groupBy("pickup_location_area", day).agg(*_totals())
+    return gold(silver, day)
 
 
 def gold_by_weekday(silver):
     """Trips and fares per area and weekday (1 = Sunday)."""
     weekday = F.dayofweek(F.timestamp_millis("window_start_ts")).alias("weekday")
-    return silver.groupBy("pickup_location_area", weekday).agg(*_totals())
+    return gold(silver, weekday)
 
 
 def top_areas(silver, k, ascending=False):

@@ -194,9 +194,12 @@ def rows_added(before, after):
     return counts.agg(F.sum("rows").alias("rows_added"))
 
 
-def lineage_record(df, source_schema, processing, keyspace, table, source_type="json"):
+def lineage_record(df, source_schema, processing, keyspace, table, source_type="json",
+                   user_id=None):
     """One JSON document per tenant run: source, processing steps, totals and times."""
     success = F.format_string("%.1f%%", F.col("inserted") * 100 / F.col("rows"))
+    seconds = (F.unix_micros("last_msg") - F.unix_micros("start")) / 1e6
+    rate = F.floor(per_second(F.col("inserted"), seconds))
     steps = F.create_map(*[F.lit(x) for pair in processing.items() for x in pair])
     return df.select(
         "tenant",
@@ -204,6 +207,7 @@ def lineage_record(df, source_schema, processing, keyspace, table, source_type="
         F.to_json(
             F.struct(
                 F.col("tenant").alias("tenant_id"),
+                F.lit(user_id).cast("string").alias("user_id"),
                 F.struct(
                     F.array(*[F.lit(c) for c in source_schema]).alias("schema"),
                     F.lit(source_type).alias("type"),
@@ -215,6 +219,7 @@ def lineage_record(df, source_schema, processing, keyspace, table, source_type="
                     F.col("inserted").alias("successful_db_inserts"),
                     F.col("errored").alias("failed_db_inserts"),
                     success.alias("success_rate"),
+                    rate.alias("rows_inserted_per_second"),
                 ).alias("ingestion_result"),
                 F.date_format("start", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ingestion_start"),
                 F.date_format("last_msg", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ingestion_end"),

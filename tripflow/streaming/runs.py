@@ -78,7 +78,7 @@ def live_status(rows, write, checkpoint, trigger=None):
 
 def run_gold_incremental(spark, silver_dir, gold_dir, checkpoint, fmt="parquet",
                          archive_dir=None, trigger=None):
-    """Gold of the silver files that came since the last run, one folder per batch.
+    """Gold per silver directory of the files that came since the last run.
 
     The checkpoint remembers the files taken, so none is counted twice and a run without
     new files writes nothing. ``archive_dir`` also moves taken files out of the way.
@@ -89,7 +89,7 @@ def run_gold_incremental(spark, silver_dir, gold_dir, checkpoint, fmt="parquet",
     silver_rows = reader.csv(silver_dir) if fmt == "csv" else reader.parquet(silver_dir)
 
     def write(batch, batch_id):
-        write_gold(gold(batch), gold_dir, batch_id)
+        write_gold(gold(batch, "hour"), gold_dir, batch_id)
 
     return (
         silver_rows.writeStream.foreachBatch(write)

@@ -75,13 +75,14 @@ def write_metric_log(sdf, base, checkpoint=None, trigger=None):
 
 
 def write_gold(df, gold_dir, batch_id=None):
-    """Gold CSV with a header.
+    """Gold CSV with a header, in the directory (``hour``) of the silver it came from.
 
     A batch of a stream owns the folder ``batch_id=N``, so writing it again changes nothing.
     """
+    writer = df.repartition("hour").write.partitionBy("hour").option("header", True)
     if batch_id is None:
-        return df.write.mode("append").option("header", True).csv(gold_dir)
-    return df.write.mode("overwrite").option("header", True).csv(f"{gold_dir}/batch_id={batch_id}")
+        return writer.mode("append").csv(gold_dir)
+    return writer.mode("overwrite").csv(f"{gold_dir}/batch_id={batch_id}")
 
 
 def write_run_report(df, directory):
