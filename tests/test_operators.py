@@ -292,9 +292,10 @@ def test_upsert_takes_up_a_finished_merge(spark, tmp_path, monkeypatch, replay):
 def test_upsert_partitions_keep_tenants_apart(spark, tmp_path):
     table = str(tmp_path / "t")
     schema = "tenant STRING, k INT, v STRING, at INT"
-    for rows in ([("x", 1, "a", 1), ("y", 1, "b", 1)], [("y", 1, "c", 2)]):
+    for rows in ([("007", 1, "a", 1), ("8", 1, "b", 1)], [("8", 1, "c", 2)], [("007", 2, "d", 1)]):
         upsert(spark.createDataFrame(rows, schema), table, ["k"], ["at"], 4, None, ["tenant"])
-    assert {(r.tenant, r.v) for r in read_table(spark, table).collect()} == {("x", "a"), ("y", "c")}
+    stored = read_table(spark, table, schema=schema).collect()
+    assert {(r.tenant, r.v) for r in stored} == {("007", "a"), ("8", "c"), ("007", "d")}
 
 
 def test_latest_per_key_prunes_before_the_shuffle(spark):

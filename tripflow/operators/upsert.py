@@ -19,15 +19,16 @@ def latest_per_key(df, keys, order_cols):
     return df.withColumn("_rn", F.row_number().over(newest_first)).filter("_rn = 1").drop("_rn")
 
 
-def read_table(spark, table, evolving=False):
-    """Rows of a keyed table; None if it does not exist yet."""
+def read_table(spark, table, evolving=False, schema=None):
+    """Rows of a keyed table; None if it does not exist yet.
+
+    Give the schema where partition columns hold texts such as ``007``, which would be
+    read as numbers.
+    """
     if not exists(spark, f"{table}/rows"):
         return None
-    return _stored(spark, table, evolving).drop("bucket")
-
-
-def _stored(spark, table, evolving):
-    return spark.read.option("mergeSchema", evolving).parquet(f"{table}/rows")
+    reader = spark.read.option("mergeSchema", evolving)
+    return (reader.schema(schema) if schema else reader).parquet(f"{table}/rows").drop("bucket")
 
 
 def upsert(df, table, keys, order_cols, buckets=64, batch_id=None, partition_cols=(),
@@ -55,9 +56,11 @@ def upsert(df, table, keys, order_cols, buckets=64, batch_id=None, partition_col
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     rows = latest_per_key(df, all_keys, order_cols).withColumn("bucket", bucket)
     if exists(spark, f"{table}/rows"):
-        stored = _stored(spark, table, evolving)
-        if not evolving and set(stored.columns) != set(rows.columns):
-            raise ValueError(f"columns of {table} differ from those to be written")
+        stored = spark.read.option("mergeSchema", evolving).parquet(f"{table}/rows")
+        if not evolving:
+            if set(stored.columns) != set(rows.columns):
+                raise ValueError(f"columns of {table} differ from those to be written")
+            stored = spark.read.schema(rows.schema).parquet(f"{table}/rows")
         touched = _touched(df.withColumn("bucket", bucket), partition_cols)
         both = stored.filter(touched).unionByName(rows, allowMissingColumns=True)
         # Keys are unique on both sides, so buckets are even; with rows in place by
