@@ -29,6 +29,7 @@ from tripflow.operators.ingest import activity_sessions, ingest_status
 from tripflow.operators.late import mark_late
 from tripflow.operators.trips import decrypt_cols, dq_rules, encrypt_cols
 from tripflow.operators.upsert import append_table, latest_per_key, read_table, upsert
+from tripflow.operators.windows import silver, silver_export
 from tripflow.plans.registry import register_pipeline, run_tenant
 from tripflow.schemas import MESSAGE, SILVER
 from tripflow.session import interval_seconds
@@ -83,6 +84,13 @@ def test_total(spark):
     assert [float(r.total) for r in rows] == [12.35, 0.0, 0.0, 0.0]
 
 
+def test_absurd_totals_do_not_stop_the_job(spark):
+    body = '{"Pickup Community Area":8,"Trip Start Timestamp":"2024-01-10T10:00:00Z","Trip Total":9e15}'
+    rows = analytics_reason(analytics_rows(messages(spark, [body] * 50)))
+    assert float(silver_export(silver(rows)).first().total_fares) == 50 * 9e15
+    assert float(gold(silver_export(silver(rows))).first().sum_fares) == 50 * 9e15
+
+
 def test_event_time_forms(spark):
     forms = {
         "2024-01-10T10:00:00Z": datetime(2024, 1, 10, 10),
@@ -229,14 +237,14 @@ def test_status_fills_gaps(spark):
 
 
 def test_gold_mean_is_over_windows(spark):
-    silver = spark.createDataFrame(
+    rows = spark.createDataFrame(
         [(8, 2, 10.0, 0, 60), (8, 1, 20.0, 60, 120), (9, 4, 1.0, 0, 60)],
         "pickup_location_area INT, trips BIGINT, total_fares DOUBLE, window_start_ts BIGINT, window_end_ts BIGINT",
     )
-    rows = {r.pickup_location_area: r for r in gold(silver).collect()}
-    assert (rows[8].trips, rows[8].sum_fares, rows[8].avg_fares) == (3, 30.0, 15.0)
-    assert (rows[8].window_start_ts, rows[8].window_end_ts) == (0, 120)
-    assert [r.pickup_location_area for r in top_areas(silver, 1).orderBy("window_start_ts").collect()] == [9, 8]
+    found = {r.pickup_location_area: r for r in gold(rows).collect()}
+    assert (found[8].trips, found[8].sum_fares, found[8].avg_fares) == (3, 30.0, 15.0)
+    assert (found[8].window_start_ts, found[8].window_end_ts) == (0, 120)
+    assert [r.pickup_location_area for r in top_areas(rows, 1).orderBy("window_start_ts").collect()] == [9, 8]
 
 
 def test_upsert_replaces_and_replays(spark, tmp_path):

@@ -254,14 +254,15 @@ def test_control_feeds(spark, chicago_run):
 
 def test_ny_quarantine(spark, tmp_path):
     values = ['{"VendorID":1,"tpep_dropoff_datetime":"2024-01-10T10:00:00Z"}',
-              '{"VendorID":1,"tpep_dropoff_datetime":"soon"}', '{"VendorID":NaN}', "x"]
+              '{"VendorID":1,"tpep_dropoff_datetime":"soon"}',
+              '{"VendorID":1e12,"tpep_dropoff_datetime":"2024-01-10T10:00:00Z"}', '{"VendorID":NaN}', "x"]
     put(tmp_path / "topic", 0, [{"value": v, "topic": "nytenant_trips", "ingest_ts": NOW, "seq": i}
                                for i, v in enumerate(values)])
     ny_stream_ingest(topic(spark, tmp_path / "topic"), str(tmp_path / "run"), buckets=2).awaitTermination()
     assert read_table(spark, str(tmp_path / "run/table")).count() == 1
     counts = {r.disposition: r["count"] for r in read_ledger(spark, str(tmp_path / "run")).groupBy("disposition").count().collect()}
-    assert counts == {"ok": 1, "errored": 1, "discarded": 2}
-    assert spark.read.text(str(tmp_path / "run/quarantine")).count() == 3
+    assert counts == {"ok": 1, "errored": 2, "discarded": 2}
+    assert spark.read.text(str(tmp_path / "run/quarantine")).count() == 4
 
 
 def test_sessions_stream_equals_batch(spark, tmp_path):

@@ -36,7 +36,7 @@ def silver_export(df, key="area"):
     return df.select(
         F.col(key).alias("pickup_location_area"),
         "trips",
-        F.col("total_fares").cast("DECIMAL(18,2)").alias("total_fares"),
+        F.col("total_fares").cast("DECIMAL(28,2)").alias("total_fares"),
         epoch_ms("window_start").alias("window_start_ts"),
         epoch_ms("window_end").alias("window_end_ts"),
     )

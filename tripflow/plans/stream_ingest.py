@@ -31,21 +31,20 @@ def ny_rows(judged):
     """Accepted New York messages in the stored form, plus arrival columns."""
     rows = drop_unused(nan_to_null(judged), NY_UNUSED).withColumnsRenamed(NY_RENAMES)
     times = {c: parse_iso_z(c) for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
-    whole = {c: F.col(c).cast("int") for c in ("vendor_id", "passenger_count", "ratecode_id")}
+    whole = {c: F.col(c).try_cast("int") for c in ("vendor_id", "passenger_count", "ratecode_id")}
     return rows.withColumns(times | whole).drop(
         "value", "topic", "malformed", "disposition", "valid_key"
     )
 
 
 def ny_verdict(messages):
-    """Quarantine test, then ``errored`` where the drop-off time of a keyed row is no time."""
+    """Quarantine test, then ``errored`` where a key is there but cannot be used."""
     rows = quarantine(messages)
     no_time = parse_iso_z("tpep_dropoff_datetime").isNull()
+    no_vendor = F.col("VendorID").try_cast("int").isNull()
+    unusable = (F.col("disposition") == "ok") & (no_time | no_vendor)
     return rows.withColumn(
-        "disposition",
-        F.when((F.col("disposition") == "ok") & no_time, "errored").otherwise(
-            F.col("disposition")
-        ),
+        "disposition", F.when(unusable, "errored").otherwise(F.col("disposition"))
     )
 
 

@@ -74,13 +74,14 @@ NY_RENAMES = {
 # A message with its topic, arrival time and arrival number.
 MESSAGE = "value STRING, topic STRING, ingest_ts TIMESTAMP, seq BIGINT"
 
-# Silver and gold rows as stored in files.
+# Silver and gold rows as stored in files. Sums of money are wider than the
+# money of a trip, so that a few absurd totals cannot overflow them.
 SILVER = """
-    pickup_location_area INT, trips BIGINT, total_fares DECIMAL(18,2),
+    pickup_location_area INT, trips BIGINT, total_fares DECIMAL(28,2),
     window_start_ts BIGINT, window_end_ts BIGINT
 """
 GOLD = """
-    pickup_location_area INT, trips BIGINT, sum_fares DECIMAL(18,2), avg_fares DOUBLE,
+    pickup_location_area INT, trips BIGINT, sum_fares DECIMAL(38,2), avg_fares DOUBLE,
     window_start_ts BIGINT, window_end_ts BIGINT
 """
 
