@@ -394,19 +394,19 @@ def reports(spark, sf_dir):
       || '","user_id":"user_1","source":{"schema":["trip_id","trip_total"],"type":"json"},"processing":{"trip_id":"keep","trip_total":"to_decimal"},'
       || '"ingestion_result":{"total_rows_processed":' || n_rows || ',"total_rows_discarded":' || discarded
       || ',"successful_db_inserts":' || inserted || ',"failed_db_inserts":' || errored || ',"success_rate":"'
-      || printf('%.1f%%', inserted * 100.0 / n_rows) || '"' || CASE WHEN last_us > start_us
+      || ((inserted * 2000 + n_rows) // (2 * n_rows) // 10) || '.'
+      || ((inserted * 2000 + n_rows) // (2 * n_rows) % 10) || '%"' || CASE WHEN last_us > start_us
          THEN ',"rows_inserted_per_second":' || floor(inserted / ((last_us - start_us) / 1e6))::BIGINT ELSE '' END
       || '},"ingestion_start":"'
       || strftime(make_timestamp(start_us), '%Y-%m-%dT%H:%M:%SZ') || '","ingestion_end":"'
       || strftime(make_timestamp(last_us), '%Y-%m-%dT%H:%M:%SZ')
       || '","cassandra_keyspaces":["trip_space"],"cassandra_tables":["trips"]}' AS lineage
-    FROM runs WHERE n_rows IN (1, 2, 4, 5, 8, 10, 20)""",
+    FROM runs""",
 )
 def lineage(spark, sf_dir):
     sessions = activity_sessions(tenant_ledger(spark, sf_dir), "20 minutes")
     records = lineage_record(
-        # Run lengths whose share has one exact decimal, so both engines print it alike.
-        sessions.filter(F.col("rows").isin(1, 2, 4, 5, 8, 10, 20)),
+        sessions,
         ["trip_id", "trip_total"],
         {"trip_id": "keep", "trip_total": "to_decimal"},
         "trip_space",

@@ -197,7 +197,9 @@ def rows_added(before, after):
 def lineage_record(df, source_schema, processing, keyspace, table, source_type="json",
                    user_id=None):
     """One JSON document per tenant run: source, processing steps, totals and times."""
-    success = F.format_string("%.1f%%", F.col("inserted") * 100 / F.col("rows"))
+    # Tenths of a percent, rounded half up in whole numbers.
+    tenths = F.expr("(inserted * 2000 + rows) div (2 * rows)")
+    success = F.format_string("%d.%d%%", F.floor(tenths / 10), tenths % 10)
     seconds = (F.unix_micros("last_msg") - F.unix_micros("start")) / 1e6
     rate = F.floor(per_second(F.col("inserted"), seconds))
     steps = F.create_map(*[F.lit(x) for pair in processing.items() for x in pair])
