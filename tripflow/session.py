@@ -1,12 +1,9 @@
 """Session settings and the shared working folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def build_session(app="tripflow", master=None, **conf):
     """A session with the settings the operators rely on; ``conf`` wins over the defaults."""
@@ -31,19 +28,9 @@ def build_session(app="tripflow", master=None, **conf):
 
 
 def shared_root(spark):
-    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
-
-    Only a local session without that setting gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tripflow-")
-    return _local_roots[context.applicationId]
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the warehouse folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return root.rstrip("/")
 
 
 def fresh_dir(spark, label):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.text import file_ext
 from tripflow.schemas import SILVER
-from tripflow.session import fresh_dir
+from tripflow.session import fresh_dir, settle
 
 _POSITION_BITS = 33  # of monotonically_increasing_id: the position within a partition
 
@@ -115,14 +115,15 @@ def number_rows(df, order_cols):
         "_part", F.shiftright("_position", _POSITION_BITS)
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition of the shuffle, so the broadcast is small at any data size.
-    offsets = (
+    # One row per partition of the shuffle; written, so that its size is known to the join.
+    offsets = settle(
         rows.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")),
+        "offsets",
     )
     within = F.col("_position").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return rows.join(F.broadcast(offsets), "_part").select(
+    return rows.join(offsets, "_part").select(
         *df.columns, (F.col("_offset") + within).alias("row_no")
     )
 
