@@ -175,8 +175,15 @@ def place_pieces(pieces, order, window=WINDOW):
 
 
 def packed_pieces(docs, tokenizer, end_id=1, window=WINDOW):
-    """Cut, digest and place all documents."""
-    pieces = cut_documents(docs, tokenizer, end_id, window).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"
+    """Cut, digest and place all documents.
+
+    The narrow rows are written first: range partitioning reads its input twice, and the
+    second reading would tokenise again.
+    """
+    pieces = settle(
+        cut_documents(docs, tokenizer, end_id, window).select(
+            "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"
+        ),
+        "pieces",
     )
     return place_pieces(pieces, ["doc_id", "start", "ids_crc32", "doc_tokens"], window)

@@ -56,9 +56,12 @@ def write_shards(docs, path, shards, **options):
 def shard_report(docs, shards=8):
     """Shard and slot of all documents; the texts themselves are not moved."""
     whole = F.coalesce(F.col("text"), F.lit(""))
-    narrow = docs.select(
-        "doc_id", "source", (F.octet_length(whole).cast("long") + 1).alias("size"),
-        F.crc32(whole).alias("text_crc32"),
+    narrow = settle(
+        docs.select(
+            "doc_id", "source", (F.octet_length(whole).cast("long") + 1).alias("size"),
+            F.crc32(whole).alias("text_crc32"),
+        ),
+        "document-sizes",
     )
     return interleave(narrow, shards, key=("doc_id", "text_crc32", "size")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
