@@ -442,3 +442,16 @@ def test_registry(spark):
 def test_parse_keeps_columns(spark):
     rows = parse_trips(messages(spark, ['{"a":1}']), "a INT")
     assert rows.columns == ["value", "topic", "ingest_ts", "seq", "a", "malformed"]
+
+
+def test_only_one_json_object_is_good(spark):
+    good = ['{"a":1}', ' {"a":1}\n', '{"a":1,"b":{"c":"}"}}', '{"a":"x{y}"}', '{"a":NaN}']
+    bad = ['{"a":1} trailing', '{"a":1}{"a":2}', "{'a':1}", '{"a":1},{"a":2}', '[{"a":1}]', "", "1", None]
+    rows = parse_trips(messages(spark, good + bad), "a STRING").select("seq", "malformed").collect()
+    assert [r.malformed for r in sorted(rows)] == [False] * len(good) + [True] * len(bad)
+
+
+def test_malformed_rows_close_no_window(spark):
+    old = '{"Pickup Community Area":8,"Trip Start Timestamp":"2024-01-10T07:00:0%dZ"}'
+    rows = analytics_rows(messages(spark, ["junk", *[old % i for i in range(5)]]))
+    assert [r.late for r in mark_late(rows).orderBy("seq").collect()] == [False] * 6

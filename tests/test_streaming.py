@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.operators.disposition import analytics_reason, analytics_rows, ingest_disposition, split_by_tag
 from tripflow.operators.gold import gold
@@ -27,7 +28,7 @@ from tripflow.plans.stream_ingest import (
     read_ledger,
 )
 from tripflow.operators.monitor import default_limits
-from tripflow.schemas import AGREEMENT, CHICAGO_KEY, GOLD
+from tripflow.schemas import AGREEMENT, CHICAGO_KEY, CHICAGO_RAW, GOLD
 from tripflow.sources.files import read_silver, stream_staged_csv
 from tripflow.sources.messages import read_messages
 from tripflow.streaming.bronze import read_bronze, write_bronze
@@ -365,6 +366,33 @@ def test_staged_ingest_by_interval(spark, tmp_path):
         "a.csv": (True, 0), "b.csv": (True, 1), "c.txt": (False, None)}
 
 
+def test_staged_ingest_keeps_odd_names_and_headers(spark, tmp_path):
+    names = T.StructType.fromDDL(CHICAGO_RAW).names
+    values = {"Trip ID": "t", "Pickup Community Area": "8", "Trip Total": "5", "Trip Miles": "1.5"}
+
+    def stage(tenant, file, columns, trip):
+        folder = tmp_path / "staging" / tenant
+        folder.mkdir(parents=True, exist_ok=True)
+        row = ",".join({**values, "Trip ID": trip}.get(c, "") for c in columns)
+        (folder / file).write_text(",".join(columns) + "\n" + row + "\n")
+
+    stage("two words+", "a.csv", names, "t1")
+    stage("two words+", "a[1].csv", names, "t2")
+    stage("two words+", "back.csv", names[::-1], "t3")
+    stage("two words+", "odd.csv", ["Trip", *names[1:]], "t4")
+    stage("nobody", "a.csv", names, "t5")
+    terms = ("two words+", "clean_chicago", "/t", "space", "trips", {"csv": True}, 1.0, 50, 10, 10.0, 10)
+    agreements = spark.createDataFrame([terms], AGREEMENT)
+    table = str(tmp_path / "table")
+    decisions = ingest_staged(spark, str(tmp_path / "staging"), agreements, table, buckets=2, delete=True)
+    rows = read_table(spark, table).select("trip_id", "pickup_community_area", "trip_total", "trip_miles").collect()
+    assert sorted(map(tuple, rows)) == [(t, 8.0, 5.0, 1.5) for t in ("t1", "t2", "t3")]
+    left = sorted(str(p.relative_to(tmp_path / "staging")) for p in (tmp_path / "staging").glob("*/[!.]*.csv"))
+    assert left == ["nobody/a.csv", "two words+/odd.csv"]
+    assert {(r.tenant, r.file): r.reason for r in decisions.collect() if not r.accepted} == {
+        ("nobody", "a.csv"): "no_agreement", ("two words+", "odd.csv"): "unknown_header"}
+
+
 def test_dynamic_ingest_takes_new_columns(spark, tmp_path):
     schema = "value STRING, consumer STRING, ingest_ts TIMESTAMP, seq BIGINT"
 

@@ -6,7 +6,6 @@ Faults are planted by the number of an event, so both sides agree on every row.
 from pyspark.sql import functions as F
 
 from tripflow.schemas import LIMITS
-from tripflow.session import spread
 from tripflow.sources.files import read_trips_parquet
 
 TENANTS = ["chicagotenant", "nytenant", "thirdtenant"]
@@ -76,7 +75,7 @@ def _total():
 def _messages(events, *fields):
     body = F.when(nth(101), "not json").otherwise(_object(*fields))
     tenant = F.element_at(F.array(*[F.lit(t) for t in TENANTS]), (F.col("event_id") % 3 + 1).cast("int"))
-    rows = with_arrival(events if events.isStreaming else spread(events))
+    rows = with_arrival(events)
     return rows.select(
         body.alias("value"),
         F.concat(tenant, F.lit("_trips")).alias("topic"),
@@ -269,7 +268,7 @@ def quality_cte(size_seconds, source="msg", name="quality"):
 def late_cte(size_seconds, delay_seconds=60, lateness_seconds=20, source="msg", name="judged"):
     """Lateness record by record: a running maximum over the rows in arrival order."""
     return f"""seen AS (
-  SELECT *, max((epoch_us(event_time) // 1000)) OVER (ORDER BY ingest_ts, event_id
+  SELECT *, max((epoch_us(event_time) // 1000)) FILTER (reason <> 'malformed') OVER (ORDER BY ingest_ts, event_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen_ms
   FROM {source}
 ), {name} AS (

@@ -23,8 +23,7 @@ from tripflow.operators.ingest import (
     ingest_status,
     ingest_summary,
     lineage_record,
-    row_count,
-    rows_added,
+    rows_added_by_key,
     run_report,
     stream_complete,
 )
@@ -511,9 +510,8 @@ def upsert_latest(spark, sf_dir):
 )
 def added(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    old = lines.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    keys = [df.select(*UPSERT_KEY).distinct() for df in (old, lines)]
-    return rows_added(*keys).crossJoin(row_count(lines))
+    old = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    return rows_added_by_key(lines, UPSERT_KEY, old)
 
 
 VEHICLE_TRIPS_CTE = """vt AS (SELECT 'u' || user_id AS taxi_id, ts,

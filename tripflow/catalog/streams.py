@@ -55,7 +55,7 @@ from tripflow.plans.batch_ingest import ingest_staged, staging_decisions
 from tripflow.plans.dynamic_ingest import ingest_dynamic
 from tripflow.plans.stream_ingest import chicago_stream_ingest, ny_stream_ingest, read_ledger
 from tripflow.schemas import AGREEMENT, GOLD
-from tripflow.session import fresh_dir, spread
+from tripflow.session import fresh_dir
 from tripflow.sources.agreements import read_agreements
 from tripflow.sources.files import new_silver, read_silver
 from tripflow.sources.messages import read_messages
@@ -77,7 +77,7 @@ def stream_events(spark, sf_dir):
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
-    return spread(stream, like=whole)
+    return stream
 
 
 def _analytics_run(spark, sf_dir, output):

@@ -26,14 +26,20 @@ def snake_columns(df):
 def parse_trips(df, schema, value="value"):
     """Add the fields of a JSON message, typed by ``schema``, and a ``malformed`` flag.
 
-    A field of the wrong type becomes NULL and the row stays. ``malformed`` is set only
-    where the text is no JSON object at all; that second look is taken just for the rows
-    in which something did not fit.
+    A field of the wrong type becomes NULL and the row stays. ``malformed`` is set where the
+    text is not exactly one JSON object: text after it, a second object, and single quotes
+    count. That second look, on the text as the only element of an array, is taken for rows in
+    which something did not fit and for texts with more braces than a flat object has.
     """
+    strict = {"allowSingleQuotes": "false"}
     parsed = F.from_json(
-        value, f"{schema}, _misfit STRING", {"columnNameOfCorruptRecord": "_misfit"}
+        value, f"{schema}, _misfit STRING", {"columnNameOfCorruptRecord": "_misfit", **strict}
     )
-    is_object = F.from_json(value, "MAP<STRING, STRING>").isNotNull()
+    alone = F.from_json(
+        F.concat(F.lit("["), value, F.lit("]")), "ARRAY<MAP<STRING, STRING>>", strict
+    )
+    is_object = F.coalesce((F.size(alone) == 1) & F.get(alone, 0).isNotNull(), F.lit(False))
+    is_flat = F.rlike(value, F.lit(r"\A\s*\{[^{}]*\}\s*\z"))
     return (
         # The generator keeps filters on the fields above it. Pushed below, they would
         # parse each message again for every field they test.
@@ -41,7 +47,7 @@ def parse_trips(df, schema, value="value"):
         .withColumn(
             "malformed",
             F.when(F.col(value).isNull(), True)
-            .when(F.col("_misfit").isNull(), False)
+            .when(F.col("_misfit").isNull() & is_flat, False)
             .otherwise(~is_object),
         )
         .drop("_misfit")

@@ -194,6 +194,17 @@ def rows_added(before, after):
     return counts.agg(F.sum("rows").alias("rows_added"))
 
 
+def rows_added_by_key(rows, keys, is_old):
+    """``rows_added`` (keys that no old row has) and ``rows`` (of all), in one scan.
+
+    ``is_old``: a condition on a row; rows of a key are reduced before the shuffle.
+    """
+    per_key = rows.groupBy(*keys).agg(F.bool_or(is_old).alias("_old"), F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(
+        F.count(F.when(~F.col("_old"), 1)).alias("rows_added"), F.sum("_n").alias("rows")
+    )
+
+
 def lineage_record(df, source_schema, processing, keyspace, table, source_type="json",
                    user_id=None):
     """One JSON document per tenant run: source, processing steps, totals and times."""

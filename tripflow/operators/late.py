@@ -90,14 +90,16 @@ def mark_late(
     With ``wm`` = largest event time of all earlier arrivals - delay - 1 ms, a row is late
     if the last millisecond of its window plus the lateness is not after ``wm``.
     ``seen_until_ms`` is the largest event time of arrivals before this set. Batch (or one
-    micro-batch); needs ``event_time``, ``ingest_ts`` and ``seq``.
+    micro-batch); needs ``event_time``, ``ingest_ts`` and ``seq``. Rows flagged ``malformed``
+    have no event time of their own: they are judged, but close no window.
     """
     size_ms = interval_seconds(size) * 1000
     wait_ms = (interval_seconds(delay) + interval_seconds(lateness)) * 1000
     rows = df.withColumn("_event_ms", epoch_ms("event_time")).withColumn(
         "_arrival", arrival_number()
     )
-    closings = settle(window_closings(rows, size_ms, wait_ms), "closings")
+    telling = rows.filter(~F.col("malformed")) if "malformed" in df.columns else rows
+    closings = settle(window_closings(telling, size_ms, wait_ms), "closings")
     late = F.col("_arrival") > F.col("_closed_by")
     if seen_until_ms is not None:
         window_end = _grid_start(F.col("_event_ms"), size_ms) + size_ms

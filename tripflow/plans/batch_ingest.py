@@ -1,6 +1,7 @@
 """Batch ingest: staged files -> agreement checks -> clean rows -> keyed tables."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.operators.cleanse import (
     CHICAGO_CASTS,
@@ -14,7 +15,14 @@ from tripflow.operators.upsert import upsert
 from tripflow.plans.registry import register_pipeline, transform_for
 from tripflow.schemas import CHICAGO_KEY, CHICAGO_RAW
 from tripflow.session import settle
-from tripflow.sources.files import list_staged, read_staged
+from tripflow.sources.files import (
+    exact_paths,
+    file_path,
+    header_lines,
+    in_header_order,
+    list_staged,
+    read_staged,
+)
 from tripflow.streaming.files import delete_files
 
 # Staged times are US 12-hour texts, so all columns of a CSV row are read as declared texts
@@ -31,8 +39,12 @@ register_pipeline("clean_chicago", clean_chicago)
 
 
 def staging_decisions(spark, staging_dir, agreements):
-    """Every staged file with its fate: accepted or not, why, and its ingest interval."""
+    """Every staged file with its fate: accepted or not, why, and its ingest interval.
+
+    A tenant without agreement has its files rejected as ``no_agreement``.
+    """
     files = list_staged(spark, staging_dir)
+    unknown = files.join(agreements.select(F.col("id").alias("tenant")), "tenant", "left_anti")
     checked = file_type_check(files, agreements)
     intervals = quota_batches(files, agreements).drop("bytes")
     decisions = admission(files, agreements).select("tenant", "decision")
@@ -44,15 +56,21 @@ def staging_decisions(spark, staging_dir, agreements):
             F.when(F.col("decision") != "admitted", F.col("decision")).otherwise(F.col("reason")),
         )
         .drop("decision")
+        .unionByName(
+            unknown.withColumns({"accepted": F.lit(False), "reason": F.lit("no_agreement")}),
+            allowMissingColumns=True,
+        )
     )
 
 
-def _staged_rows(spark, paths, ext, run):
-    rows = read_staged(spark, paths, ext, CHICAGO_RAW)
-    path = F.col("_metadata.file_path")
+def _staged_rows(spark, paths, ext, schema, run):
+    rows = read_staged(spark, exact_paths(paths), ext, schema)
+    names = T.StructType.fromDDL(CHICAGO_RAW).names
+    path = file_path()
     return rows.select(
-        "*",
+        *[F.col(f"`{name}`") for name in names],
         F.element_at(F.split(path, "/"), -2).alias("tenant"),
+        path.alias("source_path"),
         F.lit(run).alias("run"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_block"),
@@ -66,11 +84,12 @@ def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None,
 
     Rows go by key to the keyspace and table of the tenant's agreement, which are
     partitions of ``table``; a row of a later run, or later file, replaces an earlier one.
-    ``intervals`` keeps the files of those quota intervals; ``delete`` removes the files
-    that were ingested, never a rejected one. Returns the decisions, among them those of
-    the rejected files.
+    CSV columns go by the names in each file's header; a file whose header has other names
+    is rejected as ``unknown_header``. ``intervals`` keeps the files of those quota
+    intervals; ``delete`` removes the files of which every row was handed to the table,
+    never a rejected one. Returns the decisions, among them those of the rejected files.
 
-    Only file names reach the driver, at most ``maxNumFiles`` per tenant.
+    Only file names and headers reach the driver, at most ``maxNumFiles`` per tenant.
     """
     decisions = settle(staging_decisions(spark, staging_dir, agreements), "decisions")
     taken = decisions.filter("interval_no IS NOT NULL")
@@ -82,14 +101,26 @@ def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None,
         F.col("coredmsKeyspace").alias("keyspace"),
         F.col("coredmsTable").alias("table"),
     )
+    files = taken.join(terms, "tenant").orderBy("tenant", "file").collect()
+    headers = {}
+    for ext, sep in (("csv", ","), ("txt", "\t")):
+        if paths := [row.path for row in files if row.ext == ext]:
+            headers |= {r.path: tuple(r.header) for r in header_lines(spark, paths, sep).collect()}
     reads: dict[tuple, list[str]] = {}
-    for row in taken.join(terms, "tenant").orderBy("tenant", "file").collect():
+    misfits = []
+    for row in files:
+        header = headers.get(row.path)
+        if header is not None and in_header_order(CHICAGO_RAW, header) is None:
+            misfits.append((row.path,))
+            continue
         transform = transform_for(row.pipeline, row.tenant, staging_dir)
-        reads.setdefault((transform, row.ext), []).append(row.path)
-    for (transform, ext), paths in reads.items():
-        rows = transform(_staged_rows(spark, paths, ext, run))
+        reads.setdefault((transform, row.ext, header), []).append(row.path)
+    for (transform, ext, header), paths in reads.items():
+        schema = in_header_order(CHICAGO_RAW, header) if header else CHICAGO_RAW
+        staged = _staged_rows(spark, paths, ext, schema, run)
+        rows = transform(staged).join(terms.drop("pipeline"), "tenant")
         upsert(
-            rows.join(terms.drop("pipeline"), "tenant"),
+            rows.drop("source_path"),
             table,
             CHICAGO_KEY,
             SOURCE_ORDER,
@@ -97,5 +128,23 @@ def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None,
             partition_cols=["keyspace", "table"],
         )
         if delete:
-            delete_files(spark, paths)
-    return decisions
+            delete_files(spark, _handed_over(staged, rows))
+    if not misfits:
+        return decisions
+    odd = spark.createDataFrame(misfits, "path STRING").withColumn("_odd", F.lit(True))
+    return decisions.join(odd, "path", "left").select(
+        *[
+            F.when(F.col("_odd"), {"accepted": F.lit(False), "reason": F.lit("unknown_header")}.get(
+                name, F.lit(None)
+            )).otherwise(F.col(name)).alias(name)
+            if name in ("accepted", "reason", "interval_no") else F.col(name)
+            for name in decisions.columns
+        ]
+    )
+
+
+def _handed_over(staged, rows):
+    """Paths of the files of which as many rows went to the table as were read."""
+    count = lambda df, name: df.groupBy("source_path").agg(F.count(F.lit(1)).alias(name))
+    both = count(staged, "read").join(count(rows, "stored"), "source_path", "left")
+    return [r.source_path for r in both.filter(F.col("read") == F.col("stored")).collect()]

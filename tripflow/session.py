@@ -42,18 +42,6 @@ def fresh_dir(spark, label):
     return f"{shared_root(spark)}/tripflow/{application}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df, like=None):
-    """Rows of a few input files over all cores, for work that is heavy per row.
-
-    Only where the scan has fewer partitions than there are cores, that is for small
-    inputs; a large one keeps its partitions and is not shuffled. ``like`` is a batch scan
-    of the same files, for a stream.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    scan = df if like is None else like
-    return df.repartition(cores) if scan._jdf.rdd().getNumPartitions() < cores else df
-
-
 def settle(df, label):
     """Compute a small result once: write it to the shared folder and read it back.
 

@@ -1,7 +1,10 @@
 """Staged files, silver files and sample files."""
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.functions.text import file_ext
 from tripflow.schemas import SILVER
@@ -10,8 +13,42 @@ from tripflow.session import fresh_dir, settle
 _POSITION_BITS = 33  # of monotonically_increasing_id: the position within a partition
 
 
+def file_path():
+    """The path of a row's file, as a listing gives it; the metadata column has it URL-encoded."""
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def exact_paths(paths):
+    """Paths whose names are not read as glob patterns."""
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in paths]
+
+
+def header_lines(spark, paths, sep=","):
+    """``path, header``: the first line of each CSV file, as an array of names."""
+    names = F.transform(F.split("header", sep), lambda name: F.trim(F.replace(name, F.lit('"'))))
+    return (
+        spark.read.text(exact_paths(paths))
+        .select(
+            file_path().alias("path"), "value",
+            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+        )
+        .groupBy("path").agg(F.min_by("value", "place").alias("header"))
+        .withColumn("header", names)
+    )
+
+
+def in_header_order(schema, header):
+    """The declared columns in the order of a header; None if the header has other columns."""
+    fields = {f.name: f for f in T.StructType.fromDDL(schema).fields}
+    if sorted(fields) != sorted(header):
+        return None
+    return T.StructType([fields[name] for name in header])
+
+
 def read_staged_csv(spark, path, schema):
-    """CSV files with a header; the schema is declared, so the data is read once."""
+    """CSV files with a header; the schema is declared, so the data is read once. Its columns
+    must be in the header's order (see ``in_header_order``)."""
     return spark.read.schema(schema).option("header", True).csv(path)
 
 

@@ -43,7 +43,7 @@ def write_bronze(messages, base, size=WINDOW_SIZE, delay=WATERMARK_DELAY,
         hidden = f"{base}/rows/_batch_{batch_id}"
         mark_late(rows, size, delay, lateness, seen).write.mode("overwrite").parquet(hidden)
         rows.unpersist()
-        newest = F.max(epoch_ms("event_time"))
+        newest = F.max(F.when(F.col("reason") != "malformed", epoch_ms("event_time")))
         spark.read.schema(BRONZE).parquet(hidden).agg(
             F.greatest(newest, F.lit(seen).cast("bigint")).alias("seen_ms")
         ).write.mode("overwrite").parquet(f"{base}/seen/batch_id={batch_id}")
