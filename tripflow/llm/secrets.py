@@ -107,12 +107,11 @@ def _entropy_of_run(kind_no, alphabet, window, bits):
     acc_type = f"struct<counts:array<int>,sum:bigint,open:int,end:int,spans:{_SPANS}>"
 
     def spans(run, first):
-        chars = F.split(run, "")
         length = F.char_length(run)
 
-        def move(acc, i):
-            come = at(F.element_at(chars, i))
-            gone = F.when(i > window, at(F.element_at(chars, i - window))).otherwise(0)
+        def move(places, acc, i):
+            come = F.element_at(places, i)
+            gone = F.when(i > window, F.element_at(places, i - window)).otherwise(0)
             more = F.element_at(acc["counts"], come)
             less = F.when(gone > 0, F.element_at(acc["counts"], F.greatest(gone, F.lit(1))))
             weight = lambda c: F.element_at(table, c + 1)
@@ -145,13 +144,18 @@ def _entropy_of_run(kind_no, alphabet, window, bits):
         allowed = F.lit(False)
         for pattern in ALLOWED:
             allowed = allowed | F.rlike(run, F.lit(pattern))
-        found = F.aggregate(
-            F.sequence(F.lit(1), F.greatest(length, F.lit(1))), start, move,
-            lambda acc: F.when(
-                acc["open"] >= 0,
-                F.concat(acc["spans"], F.array(_span(first + acc["open"], kind_no, first + acc["end"]))),
-            ).otherwise(acc["spans"]),
-        )
+
+        def slide(places):
+            return F.aggregate(
+                F.sequence(F.lit(1), F.greatest(length, F.lit(1))), start, lambda acc, i: move(places, acc, i),
+                lambda acc: F.when(
+                    acc["open"] >= 0,
+                    F.concat(acc["spans"], F.array(_span(first + acc["open"], kind_no, first + acc["end"]))),
+                ).otherwise(acc["spans"]),
+            )
+
+        # The places of the run's characters in the alphabet, bound once for all steps.
+        found = F.get(F.transform(F.array(F.transform(F.split(run, ""), at)), slide), 0)
         return F.when(allowed, F.array().cast(_SPANS)).otherwise(found)
 
     return spans
