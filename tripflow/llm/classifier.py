@@ -21,6 +21,7 @@ from tripflow.llm.words import text_slices
 SAMPLE_ROWS = 4_000
 CUT = 0.3
 GRAMS = (2, 3)
+_SAMPLE_SLICE = 1_000_000
 _PRIME = np.uint64(0x100000001B3)
 _SEED = np.uint64(0xCBF29CE484222325)
 
@@ -86,21 +87,25 @@ def _run_sums(values, at):
 
 
 def _sample_matrix(texts, buckets):
-    """Sparse rows of the documents: features, weights (that sum to 1), bounds."""
-    index, words, at = _coded(pa.array(texts))
-    features, counts = word_features(words, buckets)
-    ends = np.cumsum(counts)
+    """Sparse rows of the documents: features, weights (that sum to 1), bounds.
+
+    Made from runs of texts, so that only the rows themselves are held for all.
+    """
     columns, weights, bounds = [], [], [0]
-    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-        own, times = np.unique(index[a:b], return_counts=True)
-        sizes = counts[own]
-        run = np.repeat(ends[own] - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
-        weight = np.repeat(times / (sizes * (b - a)), sizes)
-        column, back = np.unique(features[run], return_inverse=True)
-        columns.append(column)
-        weights.append(np.bincount(back, weights=weight))
-        bounds.append(bounds[-1] + len(column))
-    return np.concatenate(columns), np.concatenate(weights).astype(np.float32), np.array(bounds)
+    for start, stop in text_slices(texts, _SAMPLE_SLICE):
+        index, words, at = _coded(pa.array(texts.slice(start, stop - start)))
+        features, counts = word_features(words, buckets)
+        ends = np.cumsum(counts)
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            own, times = np.unique(index[a:b], return_counts=True)
+            sizes = counts[own]
+            run = np.repeat(ends[own] - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
+            weight = np.repeat(times / (sizes * (b - a)), sizes)
+            column, back = np.unique(features[run], return_inverse=True)
+            columns.append(column.astype(np.int32))
+            weights.append(np.bincount(back, weights=weight).astype(np.float32))
+            bounds.append(bounds[-1] + len(column))
+    return np.concatenate(columns), np.concatenate(weights), np.array(bounds)
 
 
 def train(texts, labels, settings=Settings()):
