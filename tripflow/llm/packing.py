@@ -95,7 +95,7 @@ def _plan_rows(counts, capacity):
 def _encoder(tokenizer):
     return WordEncoder(
         tokenizer_encoder(tokenizer), spaced=False,
-        fold=lambda word: word.lower() if word.isascii() else word,
+        fold=lambda word: word.lower() if word.isascii() else word, limit=400_000,
     )
 
 

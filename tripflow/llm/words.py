@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 
 # Ends of words that both vocabularies' patterns split from a letter or digit before them.
 _ENDS = ".,*%$&#!|:;?"
-_SLICE_BYTES = 8_000_000
+_SLICE_BYTES = 3_000_000
 _LONG_WORD = 64
 _PREFIXES = ("", " ", "\n")
 _FIRST, _SPACED, _LINE = range(3)
