@@ -28,7 +28,7 @@ from tripflow.operators.gold import gold, top_areas
 from tripflow.operators.ingest import activity_sessions, ingest_status
 from tripflow.operators.late import mark_late
 from tripflow.operators.trips import decrypt_cols, dq_rules, encrypt_cols
-from tripflow.operators.upsert import append_table, latest_per_key, read_table, upsert
+from tripflow.operators.upsert import append_table, compact_table, latest_per_key, read_table, upsert
 from tripflow.operators.windows import silver, silver_export
 from tripflow.plans.registry import register_pipeline, run_tenant
 from tripflow.schemas import MESSAGE, SILVER
@@ -265,36 +265,57 @@ def test_upsert_replaces_and_replays(spark, tmp_path):
     upsert(second, table, ["k"], ["at"], 4, 3, evolving=True)
     rows = read_table(spark, table, evolving=True).collect()
     assert {r.k: r.w for r in rows} == {1: None, 2: None, 3: None, 4: "x"}
-    assert exists(spark, f"{table}/_merged/3") and not exists(spark, f"{table}/_merged/1")
+    compact_table(spark, table, evolving=True)
+    assert read_table(spark, table, evolving=True).collect() == rows
 
 
-@pytest.mark.parametrize("replay", [True, False])
-def test_upsert_takes_up_a_finished_merge(spark, tmp_path, monkeypatch, replay):
+def test_upsert_refuses_other_terms(spark, tmp_path):
+    table = str(tmp_path / "t")
+    rows = spark.range(100).selectExpr("CAST(id AS INT) AS k", "1 AS at")
+    upsert(rows, table, ["k"], ["at"], 8)
+    for keys, buckets in ((["k"], 12), (["at"], 8)):
+        with pytest.raises(ValueError):
+            upsert(rows, table, keys, ["at"], buckets)
+    assert read_table(spark, table).count() == 100
+
+
+def test_a_batch_writes_its_own_rows_only(spark, tmp_path):
+    table = str(tmp_path / "t")
+    upsert(spark.range(20_000).selectExpr("id AS k", "'a' AS v", "1 AS at"), table, ["k"], ["at"], 4, "q-0")
+    base = {p: p.stat().st_mtime_ns for p in (tmp_path / "t/rows").rglob("*.parquet")}
+    upsert(spark.range(200).selectExpr("id * 7 AS k", "'b' AS v", "2 AS at"), table, ["k"], ["at"], 4, "q-1")
+    assert all(p.stat().st_mtime_ns == at for p, at in base.items())
+    assert spark.read.parquet(f"{table}/rows/batch_id=q-1").count() == 200
+    read = read_table(spark, table)
+    assert (read.count(), read.filter("v = 'b'").count()) == (20_000, 200)
+
+
+def test_compaction_survives_a_crash_before_the_deletion(spark, tmp_path, monkeypatch):
     from tripflow.operators import upsert as module
 
     table, schema = str(tmp_path / "t"), "k INT, v STRING, at INT"
-    upsert(spark.range(20).selectExpr("CAST(id AS INT) AS k", "'a' AS v", "1 AS at"), table, ["k"], ["at"], 4, "q-0")
-    second = spark.createDataFrame([(k, "b", 2) for k in range(5, 25)], schema)
-
-    def crash(spark, source, target, depth):
-        # The first folder was deleted, but not replaced yet.
-        import shutil
+    for n in range(3):
+        rows = [(k, str(n), n) for k in range(5 * n, 5 * n + 10)]
+        upsert(spark.createDataFrame(rows, schema), table, ["k"], ["at"], 4, f"q-{n}")
+    want = sorted(read_table(spark, table).collect())
 
-        if not source.endswith("q-1"):
-            return
-        shutil.rmtree(f"{target}/{next((tmp_path / 't/rows').glob('bucket=*')).name}")
+    def crash(spark, paths):
         raise OSError("driver lost")
 
     with monkeypatch.context() as patched:
-        patched.setattr(module, "move_partitions", crash)
+        patched.setattr(module, "delete_folders", crash)
         with pytest.raises(OSError):
-            upsert(second, table, ["k"], ["at"], 4, "q-1")
-    if replay:
-        upsert(second, table, ["k"], ["at"], 4, "q-1")
-    else:  # another batch comes first
-        upsert(spark.createDataFrame([(0, "a", 1)], schema), table, ["k"], ["at"], 4)
-    want = {k: "a" if k < 5 else "b" for k in range(25)}
-    assert {r.k: r.v for r in read_table(spark, table).collect()} == want
+            compact_table(spark, table)
+    assert sorted(read_table(spark, table).collect()) == want
+    compact_table(spark, table, batches=["q-0", "q-1"])
+    assert not exists(spark, f"{table}/rows/batch_id=q-0") and exists(spark, f"{table}/rows/batch_id=q-2")
+    assert sorted(read_table(spark, table).collect()) == want
+    compact_table(spark, table)
+    assert len(list((tmp_path / "t/rows").glob("batch_id=*"))) == 1
+    assert sorted(read_table(spark, table).collect()) == want
+    # A batch that is played again after its folder was merged changes nothing.
+    upsert(spark.createDataFrame([(k, "0", 0) for k in range(10)], schema), table, ["k"], ["at"], 4, "q-0")
+    assert sorted(read_table(spark, table).collect()) == want
 
 
 def test_upsert_partitions_keep_tenants_apart(spark, tmp_path):
@@ -302,7 +323,7 @@ def test_upsert_partitions_keep_tenants_apart(spark, tmp_path):
     schema = "tenant STRING, k INT, v STRING, at INT"
     for rows in ([("007", 1, "a", 1), ("8", 1, "b", 1)], [("8", 1, "c", 2)], [("007", 2, "d", 1)]):
         upsert(spark.createDataFrame(rows, schema), table, ["k"], ["at"], 4, None, ["tenant"])
-    stored = read_table(spark, table, schema=schema).collect()
+    stored = read_table(spark, table).collect()
     assert {(r.tenant, r.v) for r in stored} == {("007", "a"), ("8", "c"), ("007", "d")}
 
 
@@ -423,12 +444,25 @@ def test_dq_rules(spark):
 
 def test_encryption(spark):
     df = spark.createDataFrame([("a", 1.5), (None, 2.5)], "who STRING, fare DOUBLE")
-    hidden = encrypt_cols(df, ["who", "fare"], "0123456789abcdef")
+    key = spark.createDataFrame([("0123456789abcdef",)], "key STRING")
+    hidden = encrypt_cols(df, ["who", "fare"], key)
     assert "a" not in [r.who for r in hidden.collect()]
-    shown = decrypt_cols(hidden, {"who": "string", "fare": "double"}, "0123456789abcdef")
+    shown = decrypt_cols(hidden, {"who": "string", "fare": "double"}, key)
     assert {tuple(r) for r in shown.collect()} == {("a", 1.5), (None, 2.5)}
 
 
+def test_no_plan_shows_the_key(spark, tmp_path, capsys):
+    (tmp_path / "key.txt").write_text("0123456789abcdef")
+    df = spark.createDataFrame([("a",)], "who STRING")
+    for key in (
+        spark.createDataFrame([("0123456789abcdef",)], "key STRING"),
+        spark.read.text(str(tmp_path / "key.txt")),
+    ):
+        encrypt_cols(df, ["who"], key).explain("extended")
+    plans = capsys.readouterr().out
+    assert "aes" in plans and "0123456789abcdef" not in plans and "30 31 32 33" not in plans
+
+
 def test_registry(spark):
     register_pipeline("double", lambda df: df.selectExpr("id * 2 AS id"))
     register_pipeline("double", lambda df: df.selectExpr("id * 20 AS id"), "t", "/special")

@@ -110,7 +110,8 @@ def ingest_messages(events):
         _number("Pickup Community Area", _area()),
         _text("Trip Start Timestamp", _start_time()),
         _text("Trip End Timestamp", F.when(~nth(61), iso_end)),
-        _number("Trip Seconds", F.lit(900)),
+        # Whole numbers come with and without a decimal point.
+        _number("Trip Seconds", F.when(nth(3), "900.0").otherwise("900")),
         _number("Trip Miles", F.when(nth(23), "NaN").otherwise((F.col("event_id") % 40).cast("string"))),
         _number("Pickup Census Tract", F.lit(17031980000)),
         _number("Trip Total", _total()),
@@ -133,8 +134,8 @@ def ny_messages(events):
         _number("passenger_count", F.when(nth(23), "NaN").otherwise((F.col("event_id") % 5).cast("string"))),
         _number("trip_distance", F.col("value")),
         _text("store_and_fwd_flag", F.lit("N")),
-        _number("PULocationID", F.col("user_id")),
-        _number("payment_type", F.lit(2)),
+        _number("PULocationID", F.concat(F.col("user_id").cast("string"), F.when(nth(3), ".0").otherwise(""))),
+        _number("payment_type", F.when(nth(5), "2.0").otherwise("2")),
         _number("fare_amount", F.col("value")),
         _number("improvement_surcharge", F.lit(1.0)),
         _number("congestion_surcharge", F.lit(2.5)),

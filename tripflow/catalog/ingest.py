@@ -622,7 +622,7 @@ def schema_check(spark, sf_dir):
     "SELECT event_id, user_id, event_type, value, false AS readable FROM events",
 )
 def encrypted(spark, sf_dir):
-    key = "0123456789abcdef"
+    key = spark.createDataFrame([("0123456789abcdef",)], "key STRING")
     rows = events(spark, sf_dir).select("event_id", "user_id", "event_type", "value")
     hidden = encrypt_cols(rows, ["user_id", "event_type"], key).withColumn(
         "readable", F.col("event_type").isin("click", "error", "purchase", "signup", "view")

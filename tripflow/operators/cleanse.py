@@ -87,8 +87,15 @@ def cast_trips(df, spec):
     )
 
 
+def whole_number(c):
+    """An INT from a number that may be written as ``1749.0``; NULL if it is not whole or too large."""
+    number = F.col(c) if isinstance(c, str) else c
+    return F.when(number == F.floor(number), number.try_cast("int"))
+
+
 # Column types of the staged Chicago files; their times are US 12-hour texts.
 CHICAGO_CASTS = {
+    "trip_seconds": whole_number,
     "trip_start_timestamp": parse_us_12h,
     "trip_end_timestamp": parse_us_12h,
     "pickup_community_area": "double",

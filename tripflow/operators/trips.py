@@ -110,16 +110,20 @@ def validate_schema(messages, registry, value="value"):
 
 
 def encrypt_cols(df, cols, key):
-    """Encrypt columns to base64 text (AES-GCM); NULL stays NULL."""
-    secret = F.lit(key)
+    """Encrypt columns to base64 text (AES-GCM); NULL stays NULL.
+
+    ``key`` is a DataFrame of one row and column, such as the text file of a secret. It is read
+    as a scalar subquery when the query runs, so no plan, explain or event log shows it.
+    """
+    secret = key.scalar()
     return df.withColumns(
         {c: F.base64(F.aes_encrypt(F.col(c).cast("string"), secret)) for c in cols}
     )
 
 
 def decrypt_cols(df, types, key):
-    """Decrypt columns; ``types`` gives each its type."""
-    secret = F.lit(key)
+    """Decrypt columns; ``types`` gives each its type, ``key`` as for ``encrypt_cols``."""
+    secret = key.scalar()
     return df.withColumns(
         {
             c: F.aes_decrypt(F.unbase64(F.col(c)), secret).cast("string").cast(kind)

@@ -1,12 +1,20 @@
-"""Tables with a primary key."""
+"""Tables with a primary key, kept as batches of newest rows."""
 
-from functools import reduce
-from operator import or_
+import json
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tripflow.streaming.files import delete_others, exists, move_partitions, sub_folders
+from tripflow.streaming.files import delete_folders
+
+# What a keyed table is: written once beside its rows, read by every later call.
+TERMS = """
+    keys ARRAY<STRING>, order_cols ARRAY<STRING>, partition_cols ARRAY<STRING>, buckets INT,
+    columns STRING
+"""
 
 
 def latest_per_key(df, keys, order_cols):
@@ -19,78 +27,109 @@ def latest_per_key(df, keys, order_cols):
     return df.withColumn("_rn", F.row_number().over(newest_first)).filter("_rn = 1").drop("_rn")
 
 
-def read_table(spark, table, evolving=False, schema=None):
-    """Rows of a keyed table; None if it does not exist yet.
+def table_terms(spark, table):
+    """Keys, order, partitions and bucket number of a keyed table; None if there is none."""
+    try:
+        return spark.read.schema(TERMS).json(f"{table}/terms").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_table(spark, table, evolving=False):
+    """The newest row of each key; None if the table does not exist yet.
 
-    Give the schema where partition columns hold texts such as ``007``, which would be
-    read as numbers.
+    Filters on partition columns and keys reach the files. Partition columns have the types
+    they were written with, so a text such as ``007`` stays one.
     """
-    if not exists(spark, f"{table}/rows"):
+    terms = table_terms(spark, table)
+    if terms is None:
         return None
-    reader = spark.read.option("mergeSchema", evolving)
-    return (reader.schema(schema) if schema else reader).parquet(f"{table}/rows").drop("bucket")
+    rows = _all_rows(spark, table, terms, evolving).drop("batch_id", "bucket")
+    return latest_per_key(rows, [*terms.partition_cols, *terms.keys], terms.order_cols)
 
 
 def upsert(df, table, keys, order_cols, buckets=64, batch_id=None, partition_cols=(),
            evolving=False):
-    """Write rows by key: the row newest by ``order_cols`` replaces the one stored.
+    """Add a batch of rows by key: the row newest by ``order_cols`` is the one read.
 
-    The table is parquet, partitioned by ``partition_cols`` (part of the key) and a hash
-    of the key; choose ``buckets`` so that one holds about a gigabyte. Only the partitions
-    that occur in ``df`` are read, merged and replaced. The merged partitions are written
-    beside the table, then moved into it. A repeat of the same batch, also after a crash
-    half way, gives the same table: each call first moves what a finished merge has left,
-    and an unfinished merge is redone. One writer at a time.
+    A batch is reduced to the newest row per key and appended as its own folder, by
+    ``partition_cols`` (part of the key) and a hash of the key; nothing stored is read or
+    rewritten, so the cost is that of the batch. A batch id owns its folder: a repeat, also
+    after a crash half way, writes the same folder again. Without an id a repeat adds rows
+    that readers reduce to the same result. ``compact_table`` merges batches.
 
+    The keys, the order and the bucket number belong to the table; others are refused.
     ``evolving`` tables take new columns; their readers merge the schemas of all files.
     """
     spark = df.sparkSession
-    all_keys = [*partition_cols, *keys]
     place = [*partition_cols, "bucket"]
-    keep = "once" if batch_id is None else str(batch_id)
-    merged_path = f"{table}/_merged/{keep}"
-    for name in sub_folders(spark, f"{table}/_merged"):
-        _move_finished(spark, table, name, len(place))
-    if batch_id is not None and exists(spark, f"{merged_path}/_SUCCESS"):
-        return
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    rows = latest_per_key(df, all_keys, order_cols).withColumn("bucket", bucket)
-    if exists(spark, f"{table}/rows"):
-        stored = spark.read.option("mergeSchema", evolving).parquet(f"{table}/rows")
+    terms = table_terms(spark, table)
+    if terms is None:
+        given = (list(keys), list(order_cols), list(partition_cols), buckets, df.schema.json())
+        spark.createDataFrame([given], TERMS).coalesce(1).write.mode("overwrite").json(f"{table}/terms")
+    else:
+        _same_terms(terms, table, keys, order_cols, partition_cols, buckets)
+        stored = T.StructType.fromJson(json.loads(terms.columns))
         if not evolving:
-            if set(stored.columns) != set(rows.columns):
+            if set(stored.names) != set(df.columns):
                 raise ValueError(f"columns of {table} differ from those to be written")
-            stored = spark.read.schema(rows.schema).parquet(f"{table}/rows")
-        touched = _touched(df.withColumn("bucket", bucket), partition_cols)
-        both = stored.filter(touched).unionByName(rows, allowMissingColumns=True)
-        # Keys are unique on both sides, so buckets are even; with rows in place by
-        # bucket, the newest of each key needs no shuffle of its own.
-        rows = latest_per_key(both.repartition(*place), [*place, *keys], order_cols)
-    else:
-        rows = rows.repartition(*place)
-    rows.write.mode("overwrite").partitionBy(*place).parquet(merged_path)
-    _move_finished(spark, table, keep, len(place))
-    delete_others(spark, f"{table}/_merged", keep)
-
-
-def _move_finished(spark, table, name, depth):
-    """Move what a finished merge has left; nothing is left unless a run was cut off."""
-    if exists(spark, f"{table}/_merged/{name}/_SUCCESS"):
-        move_partitions(spark, f"{table}/_merged/{name}", f"{table}/rows", depth)
-
-
-def _touched(df, partition_cols):
-    """Filter for the partitions that occur: only their names reach the driver."""
-    numbers = F.array_sort(F.collect_set("bucket")).alias("buckets")
-    conditions = [
-        reduce(
-            lambda condition, c: condition & F.col(c).eqNullSafe(row[c]),
-            partition_cols,
-            F.col("bucket").isin(row.buckets),
-        )
-        for row in df.groupBy(*partition_cols).agg(numbers).collect()
-    ]
-    return reduce(or_, conditions, F.lit(False))
+            df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in stored])
+    name = uuid.uuid4().hex if batch_id is None else str(batch_id)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    rows = latest_per_key(df, [*partition_cols, *keys], order_cols).withColumn("bucket", bucket)
+    _write_batch(rows, table, name, place)
+
+
+def compact_table(spark, table, batches=None, evolving=False):
+    """Merge batches (all, or those named) into one that keeps their newest row per key.
+
+    Merge the small ones often and all of them rarely: the cost is that of the batches merged.
+    The merged batch is complete before the old folders go, and rows in both are the same, so
+    a crash in between loses and changes nothing. Not while readers of the old folders run.
+    """
+    terms = table_terms(spark, table)
+    stored = _all_rows(spark, table, terms, evolving)
+    names = stored.select(F.col("batch_id").cast("string").alias("name")).distinct()
+    merged = sorted(r.name for r in names.collect() if batches is None or r.name in batches)
+    if len(merged) < 2:
+        return
+    place = [*terms.partition_cols, "bucket"]
+    rows = stored.filter(F.col("batch_id").isin(merged)).drop("batch_id")
+    newest = latest_per_key(rows, [*place, *terms.keys], terms.order_cols)
+    _write_batch(newest, table, uuid.uuid4().hex, place)
+    delete_folders(spark, [f"{table}/rows/batch_id={name}" for name in merged])
+
+
+def _write_batch(rows, table, name, place):
+    # Rows are unique by key here, so buckets are even.
+    path = f"{table}/rows/batch_id={name}"
+    rows.repartition(*place).write.mode("overwrite").partitionBy(*place).parquet(path)
+
+
+def _all_rows(spark, table, terms, evolving):
+    """Rows of all batches; ``batch_id`` and partition columns are texts or as declared."""
+    declared = T.StructType.fromJson(json.loads(terms.columns))
+    place = T.StructType([declared[c] for c in terms.partition_cols])
+    place.add("bucket", T.IntegerType()).add("batch_id", T.StringType())
+    fields = [f for f in declared if f.name not in terms.partition_cols]
+    if evolving:
+        found = spark.read.option("mergeSchema", True).parquet(f"{table}/rows").schema
+        named = {f.name for f in [*declared, *place]}
+        fields += [f for f in found if f.name not in named]
+    return spark.read.schema(T.StructType([*fields, *place])).parquet(f"{table}/rows").select(
+        *[f"`{f.name}`" for f in declared],
+        *[f"`{f.name}`" for f in fields if f.name not in declared.names],
+        "bucket",
+        "batch_id",
+    )
+
+
+def _same_terms(terms, table, keys, order_cols, partition_cols, buckets):
+    given = (list(keys), list(order_cols), list(partition_cols), buckets)
+    if given != (terms.keys, terms.order_cols, terms.partition_cols, terms.buckets):
+        raise ValueError(f"{table} has other keys, order, partitions or number of buckets")
 
 
 def append_table(df, keyspace, table):

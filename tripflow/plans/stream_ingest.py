@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.text import tenant_of
 from tripflow.functions.times import parse_iso_z
-from tripflow.operators.cleanse import drop_unused, nan_to_null, snake_columns
+from tripflow.operators.cleanse import drop_unused, nan_to_null, snake_columns, whole_number
 from tripflow.operators.disposition import ingest_disposition, quarantine, split_by_tag
 from tripflow.operators.ingest import activity_actions, activity_sessions, ingest_status, run_report
 from tripflow.operators.monitor import recommend_actions, status_warnings
@@ -22,9 +22,10 @@ ARRIVAL = ["ingest_ts", "seq"]
 def chicago_rows(judged):
     """Accepted Chicago messages in the stored form, plus arrival columns."""
     rows = snake_columns(drop_unused(nan_to_null(judged)))
-    return rows.withColumns(
-        {c: parse_iso_z(c) for c in ("trip_start_timestamp", "trip_end_timestamp")}
-    ).drop("value", "topic", "malformed", "disposition", "reason")
+    times = {c: parse_iso_z(c) for c in ("trip_start_timestamp", "trip_end_timestamp")}
+    return rows.withColumns(times | {"trip_seconds": whole_number("trip_seconds")}).drop(
+        "value", "topic", "malformed", "disposition", "reason"
+    )
 
 
 def ny_rows(judged):
@@ -32,6 +33,7 @@ def ny_rows(judged):
     rows = drop_unused(nan_to_null(judged), NY_UNUSED).withColumnsRenamed(NY_RENAMES)
     times = {c: parse_iso_z(c) for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
     whole = {c: F.col(c).try_cast("int") for c in ("vendor_id", "passenger_count", "ratecode_id")}
+    whole |= {c: whole_number(c) for c in ("pu_location_id", "do_location_id", "payment_type")}
     return rows.withColumns(times | whole).drop(
         "value", "topic", "malformed", "disposition", "valid_key"
     )

@@ -1,10 +1,11 @@
 """Declared schemas (DDL text) and the fixed values of the data contracts."""
 
-# Column names and types of the raw Chicago trip message.
+# Column names and types of the raw Chicago trip message. Whole numbers are
+# read as DOUBLE, as producers also write them as ``1749.0``.
 CHICAGO_RAW = """
     `Trip ID` STRING, `Taxi ID` STRING,
     `Trip Start Timestamp` STRING, `Trip End Timestamp` STRING,
-    `Trip Seconds` INT, `Trip Miles` DOUBLE,
+    `Trip Seconds` DOUBLE, `Trip Miles` DOUBLE,
     `Pickup Census Tract` BIGINT, `Dropoff Census Tract` BIGINT,
     `Pickup Community Area` DOUBLE, `Dropoff Community Area` DOUBLE,
     `Fare` DOUBLE, `Tips` DOUBLE, `Tolls` DOUBLE, `Extras` DOUBLE, `Trip Total` DOUBLE,
@@ -46,7 +47,7 @@ CHICAGO_MESSAGE_KEY = ["Pickup Community Area", "Trip ID"]
 NY_RAW = """
     VendorID DOUBLE, tpep_pickup_datetime STRING, tpep_dropoff_datetime STRING,
     passenger_count DOUBLE, trip_distance DOUBLE, RatecodeID DOUBLE,
-    store_and_fwd_flag STRING, PULocationID INT, DOLocationID INT, payment_type INT,
+    store_and_fwd_flag STRING, PULocationID DOUBLE, DOLocationID DOUBLE, payment_type DOUBLE,
     fare_amount DOUBLE, extra DOUBLE, mta_tax DOUBLE, tip_amount DOUBLE, tolls_amount DOUBLE,
     improvement_surcharge DOUBLE, total_amount DOUBLE, congestion_surcharge DOUBLE,
     Airport_fee DOUBLE

@@ -26,39 +26,13 @@ def make_dir(spark, path):
     fs.mkdirs(target)
 
 
-def move_partitions(spark, source, target, depth):
-    """Replace partition folders (``depth`` levels) of ``target`` by those of ``source``.
-
-    Each folder is moved as it is; a call after a crash moves the ones that are left.
-    """
-    for name in sub_folders(spark, source):
-        if "=" not in name:
-            continue
-        if depth > 1:
-            move_partitions(spark, f"{source}/{name}", f"{target}/{name}", depth - 1)
-            continue
-        replaced, fs = _path(spark, f"{target}/{name}")
-        fs.delete(replaced, True)
-        rename(spark, f"{source}/{name}", f"{target}/{name}")
-
-
 def delete_files(spark, paths):
     for path in paths:
         target, fs = _path(spark, path)
         fs.delete(target, False)
 
 
-def sub_folders(spark, folder):
-    """Names of the folders in ``folder``; none if it does not exist."""
-    target, fs = _path(spark, folder)
-    if not fs.exists(target):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
-
-
-def delete_others(spark, folder, keep):
-    """Delete the sub-folders of ``folder`` other than ``keep``."""
-    for name in sub_folders(spark, folder):
-        if name != keep:
-            target, fs = _path(spark, f"{folder}/{name}")
-            fs.delete(target, True)
+def delete_folders(spark, paths):
+    for path in paths:
+        target, fs = _path(spark, path)
+        fs.delete(target, True)
