@@ -21,7 +21,8 @@ from tripflow.llm.words import text_slices
 SAMPLE_ROWS = 4_000
 CUT = 0.3
 GRAMS = (2, 3)
-_SAMPLE_SLICE = 1_000_000
+# Bytes of text worked on at a time; a word has several features of eight bytes each.
+_SLICE_BYTES = 1_000_000
 _PRIME = np.uint64(0x100000001B3)
 _SEED = np.uint64(0xCBF29CE484222325)
 
@@ -92,7 +93,7 @@ def _sample_matrix(texts, buckets):
     Made from runs of texts, so that only the rows themselves are held for all.
     """
     columns, weights, bounds = [], [], [0]
-    for start, stop in text_slices(texts, _SAMPLE_SLICE):
+    for start, stop in text_slices(texts, _SLICE_BYTES):
         index, words, at = _coded(pa.array(texts.slice(start, stop - start)))
         features, counts = word_features(words, buckets)
         ends = np.cumsum(counts)
@@ -163,16 +164,16 @@ def held_out(doc_id="doc_id"):
 
 
 def score_texts(texts, weights, bias):
-    """Scores of an Arrow array of whole texts; null and empty texts get the bias's score."""
-    out = np.zeros(len(texts))
-    for start, stop in text_slices(texts):
+    """Yield ``(start, stop, scores)`` for runs of an Arrow array of whole texts; null and empty
+    texts get the bias's score."""
+    for start, stop in text_slices(texts, _SLICE_BYTES):
         index, words, at = _coded(pa.array(texts.slice(start, stop - start).fill_null("")))
         features, counts = word_features(words, len(weights))
         means = _run_sums(weights[features].astype(np.float64), np.concatenate([[0], np.cumsum(counts)])) / counts
         means[[i for i, w in enumerate(words) if not w]] = 0
         sizes = np.diff(at)
-        out[start:stop] = _run_sums(means[index], at) / np.maximum(sizes, 1)
-    return 1 / (1 + np.exp(-np.clip(out + bias, -60, 60)))
+        odds = _run_sums(means[index], at) / np.maximum(sizes, 1) + bias
+        yield start, stop, 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
 def with_score(docs, labels, text="text", score="score", doc_id="doc_id", settings=Settings(), rows=SAMPLE_ROWS):
@@ -191,8 +192,9 @@ def with_score(docs, labels, text="text", score="score", doc_id="doc_id", settin
     def run(batches):
         weights, bias = model.value
         for batch in batches:
-            scores = score_texts(batch.column(at), weights, bias)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=schema.names)
+            for start, stop, scores in score_texts(batch.column(at), weights, bias):
+                columns = batch.slice(start, stop - start).columns
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
