@@ -54,46 +54,66 @@ def take_runs(flat, starts, lengths):
     return flat[np.arange(total) - np.repeat(ends - lengths - starts, lengths)]
 
 
-class WordEncoder:
-    """``encode``: list of texts to lists of ids. ``spaced``: a blank belongs to the word after it
-    (byte-level vocabularies); else blanks are dropped. ``limit``: words kept, at most."""
+class _Memory:
+    """A bounded cache in two generations: what nobody asks for while one fills up is forgotten."""
 
-    def __init__(self, encode, spaced, fold=None, limit=600_000):
-        self.encode, self.spaced, self.fold = encode, spaced, fold
+    def __init__(self, limit):
         self.half, self.new, self.old = limit // 2, {}, {}
 
-    def _known(self, part):
-        found = self.new.get(part)
-        if found is None and (found := self.old.get(part)) is not None:
-            self.new[part] = found
+    def look_up(self, keys):
+        """The values of a list of keys, None for those that are not known."""
+        found = list(map(self.new.get, keys))
+        for i in [i for i, value in enumerate(found) if value is None]:
+            value = self.old.get(keys[i])
+            if value is not None:
+                found[i] = self.new[keys[i]] = value
         return found
 
-    def _encode_units(self, units):
-        """The ids of each unit, as bytes."""
-        parts, missing = [], {}
-        for unit in units:
-            core = unit.rstrip(_ENDS)
-            if not core or len(core) == len(unit) or not core[-1].isalnum() or len(core[-1].lower()) > 1:
-                core = unit
-            pair = (core, unit[len(core):])
-            parts.append(pair)
-            for part in pair:
-                if part and self._known(part) is None:
-                    missing[part] = None
-        todo = list(missing)
-        for part, ids in zip(todo, self.encode(todo) if todo else [], strict=True):
-            missing[part] = np.array(ids, np.uint32).tobytes()
-        missing[""] = b""
-        known = self.new
-
-        def of(part):
-            found = missing.get(part)
-            return known[part] if found is None else found
-
-        blobs = [of(core) + of(end) if end else of(core) for core, end in parts]
-        self.new.update((k, v) for k, v in missing.items() if 0 < len(k) <= _LONG_WORD)
+    def add(self, keys, values):
+        self.new.update((k, v) for k, v in zip(keys, values, strict=True) if len(k) <= _LONG_WORD)
         if len(self.new) > self.half:
             self.old, self.new = self.new, {}
+
+
+def _core(unit):
+    """Where the marks at a unit's end begin that the vocabularies' patterns split off."""
+    core = unit.rstrip(_ENDS)
+    if not core or not core[-1].isalnum() or len(core[-1].lower()) > 1:
+        return len(unit)
+    return len(core)
+
+
+class WordEncoder:
+    """``encode``: list of texts to lists of ids. ``spaced``: a blank belongs to the word after it
+    (byte-level vocabularies); else blanks are dropped. ``fold``: applied to a word before it is
+    encoded. ``limit``: words kept, at most; half as many parts of words besides."""
+
+    def __init__(self, encode, spaced, fold=None, limit=800_000):
+        self.encode, self.spaced, self.fold = encode, spaced, fold
+        self.words, self.parts = _Memory(limit), _Memory(limit // 2)
+
+    def _encode_parts(self, parts):
+        """``{part: ids as bytes}``; the tokenizer sees the unknown ones."""
+        known = dict(zip(parts, self.parts.look_up(parts), strict=True))
+        todo = [part for part, ids in known.items() if ids is None]
+        ids = [np.array(ids, np.uint32).tobytes() for ids in (self.encode(todo) if todo else [])]
+        self.parts.add(todo, ids)
+        known.update(zip(todo, ids, strict=True))
+        known[""] = b""
+        return known
+
+    def _encode_units(self, units):
+        """The ids of each unit, as bytes."""
+        blobs = self.words.look_up(units)
+        fresh = [i for i, ids in enumerate(blobs) if ids is None]
+        if fresh:
+            names = [units[i] for i in fresh]
+            pairs = [(u[:at], u[at:]) for u in (map(self.fold, names) if self.fold else names) for at in (_core(u),)]
+            known = self._encode_parts(list({part: None for pair in pairs for part in pair if part}))
+            found = [known[core] + known[end] if end else known[core] for core, end in pairs]
+            self.words.add(names, found)
+            for i, ids in zip(fresh, found, strict=True):
+                blobs[i] = ids
         return blobs
 
     def _slice(self, texts):
@@ -121,11 +141,9 @@ class WordEncoder:
         else:
             hard = np.zeros(len(used), bool)
             units = [names[c] for c in used.tolist()]
-        if self.fold:
-            units = [self.fold(u) for u in units]
         blobs = self._encode_units(units)
         flat = np.frombuffer(b"".join(blobs), np.uint32)
-        lengths = np.fromiter((len(b) >> 2 for b in blobs), np.int64, len(blobs))
+        lengths = np.fromiter(map(len, blobs), np.int64, len(blobs)) >> 2
         starts = np.cumsum(lengths) - lengths
         word_lengths = lengths[unit]
         ids = take_runs(flat, starts[unit], word_lengths)
