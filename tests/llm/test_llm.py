@@ -216,6 +216,36 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert all(texts[i] == dict((r[0], r[1]) for r in rows)[i] for i in texts if 100 <= i < 200)
 
 
+def test_lines_of_templates_go(spark):
+    """Texts of many shared lines and few own ones are no copies; texts that differ in some lines only are."""
+    rng = np.random.default_rng(4)
+
+    def line(n=12):
+        return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 9)) for _ in range(n))
+
+    rows, shared, wanted = [], {}, {}
+    for host, (n_shared, n_own) in {"a": (5, 1), "b": (3, 1), "c": (8, 4), "d": (10, 20), "e": (2, 1), "f": (1, 1)}.items():
+        shared[host] = [line() for _ in range(n_shared)]
+        for _ in range(40):
+            own = [line() for _ in range(n_own)]
+            wanted[len(rows)] = "\n".join(own)
+            rows.append((len(rows), "\n".join([*shared[host], *own]), host))
+    base = [line() for _ in range(20)]
+    for i in range(60):  # near copies, each with another line replaced
+        copy = list(base)
+        copy[i % 20] = line()
+        wanted[len(rows)] = "\n".join(copy)
+        rows.append((len(rows), "\n".join(copy), "a"))
+    df = spark.createDataFrame(rows, "doc_id INT, text STRING, source STRING").repartition(3)
+    removed = {r.doc_id: set(r.removed or ()) for r in line_quality.judge(df).collect()}
+    hashes = {h: {r[0] for r in spark.createDataFrame([(x,) for x in lines], "x STRING").select(line_quality.line_hash(F.col("x"))).collect()}
+              for h, lines in shared.items()}
+    assert all(removed[i] == (hashes[h] if i < 240 else set()) for i, _, h in rows)
+    kept = {r.doc_id: r.text for r in line_quality.clean(df).collect()}
+    assert all(wanted[i] == text for i, text in kept.items())
+    assert set(range(240, 300)) <= set(kept) and not {i for i, _, h in rows[:40]} & set(kept)
+
+
 def test_shards_match_the_mixture(spark, edge_docs, no_docs):
     rows = [(i, f"t{i}", "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(1003)]
     df = spark.createDataFrame(rows, "doc_id INT, text STRING, source STRING")

@@ -4,12 +4,13 @@ Lines are normalised and hashed. Per host, distinct documents that hold a line a
 above the limits are boilerplate and are removed; a document that loses most of its words is
 rejected. Column expressions only.
 
-Copies must not make each other's lines boilerplate. Equal texts of a host count once. Near
-copies share most lines, so their smallest line hash is mostly the same, while documents that
-share nothing but boilerplate have different ones: a line is above the limits only if its
-documents have at least half as many smallest hashes as there are documents.
+Copies must not make each other's lines boilerplate. Equal texts of a host count once, and so do near
+copies: two texts of which most words are in lines of both. A line is above the limit if enough
+texts hold it of which no two are near copies.
 """
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tripflow.session import settle
@@ -18,7 +19,13 @@ _BLANK = "\\x20\\x09-\\x0D"
 # The limits, in documents of a host: at least so many, and at least this share of its documents.
 MIN_DOCS = 10
 MIN_SHARE = 0.002
+# Not used here since near copies are compared; the SQL twin still names it.
 MIN_VARIETY = 0.5
+# Near copies: this share of the words of both texts' lines, each line once, is in common lines.
+NEAR_PERCENT = 75
+# A line's texts that are looked at in one round.
+_PICKS = 16
+_SIZE_BITS = 0xFFFF
 # A document is depleted if less than this share of its words is left.
 LEAST_LEFT = 0.3
 MIN_WORDS = 50
@@ -34,9 +41,13 @@ def lines_of(text):
     return F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(f"[^{_BLANK}]")))
 
 
+def _plain(line):
+    return F.lower(F.trim(F.regexp_replace(line, f"[{_BLANK}0-9]+", " ")))
+
+
 def line_hash(line):
     """Case, digits, and blanks at the ends or in a row make no difference."""
-    return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, f"[{_BLANK}0-9]+", " "))))
+    return F.xxhash64(_plain(line))
 
 
 def with_repeats(docs, words="_words", out="n_repeat_words"):
@@ -107,35 +118,107 @@ def _host(host):
     return F.coalesce(F.col(host).cast("string"), F.lit(""))
 
 
-def boilerplate(docs, host="source", text="text", min_docs=MIN_DOCS, min_share=MIN_SHARE,
-                min_variety=MIN_VARIETY):
+def _near(one, two, percent=NEAR_PERCENT):
+    """Of arrays of line codes: the upper bits of the line's hash, the lower bits its words."""
+    words = lambda codes: F.aggregate(
+        codes, F.lit(0).cast("long"), lambda acc, c: acc + c.bitwiseAND(F.lit(_SIZE_BITS).cast("long"))
+    )
+    both = words(F.array_intersect(one, two))
+    return 100 * both >= percent * (words(one) + words(two) - both)
+
+
+def _near_pairs(pairs, codes, label):
+    """Those of ``host, a, b`` that are near copies. Many pairs have one ``b``; its lines are sent along."""
+    known = settle(
+        codes.join(pairs.select("host", F.col("b").alias("fingerprint")).distinct(), ["host", "fingerprint"]), label
+    )
+    one = codes.withColumnsRenamed({"fingerprint": "a", "codes": "a_codes"})
+    two = known.withColumnsRenamed({"fingerprint": "b", "codes": "b_codes"})
+    return pairs.join(one, ["host", "a"]).join(two, ["host", "b"]).filter(_near(F.col("a_codes"), F.col("b_codes"))).select("host", "a", "b")
+
+
+def distinct_holders(held, codes, least):
+    """``host, hash`` of lines that ``least`` texts hold of which no two are near copies.
+
+    ``held``: host, hash, fingerprint; ``codes``: host, fingerprint, codes. In each round some of
+    a line's texts are picked, the nearest to each of several numbers; those that are no near copy of a smaller
+    pick stand for themselves and their near copies, and all of these leave. A round ends at least
+    one group of each line, so there are at most ``least`` rounds; most lines need one or two.
+    All texts of a line are looked at before it is taken for one of few groups.
+    """
+    line, found = ["host", "hash"], []
+    orders = [(k << 60) - (1 << 64 if k > 7 else 0) for k in range(_PICKS)]
+    mark = lambda c: F.col("fingerprint").bitwiseXOR(F.lit(c).cast("long"))
+    live = settle(held.withColumn("known", F.lit(0).cast("long")), "held-lines")
+    while True:
+        picks = settle(
+            live.groupBy(*line).agg(
+                F.max("known").alias("known"), F.count(F.lit(1)).alias("n"),
+                *[F.min(mark(c)).alias(f"m{k}") for k, c in enumerate(orders)],
+            )
+            .filter(F.col("known") + F.col("n") >= least)
+            .select(*line, "known", F.explode(F.array_distinct(F.array(*[
+                F.col(f"m{k}").bitwiseXOR(F.lit(c).cast("long")) for k, c in enumerate(orders)
+            ]))).alias("fingerprint")),
+            "picked-texts",
+        )
+        if picks.isEmpty():
+            return reduce(lambda x, y: x.union(y), found) if found else held.select(*line).limit(0)
+        two = picks.select(*line, F.col("fingerprint").alias("b"))
+        sides = picks.select(*line, F.col("fingerprint").alias("a")).join(two, line).filter("b < a")
+        near = settle(_near_pairs(sides.select("host", "a", "b").distinct(), codes, "picked-lines"), "near-picks")
+        copies = sides.join(near, ["host", "a", "b"]).select(*line, F.col("a").alias("fingerprint")).distinct()
+        heads = settle(picks.join(copies, [*line, "fingerprint"], "left_anti"), "group-heads")
+        counts = settle(
+            heads.groupBy(*line).agg((F.max("known") + F.count(F.lit(1))).alias("known")), "group-counts"
+        )
+        found.append(counts.filter(F.col("known") >= least).select(*line))
+        rest = settle(
+            live.drop("known").join(counts.filter(F.col("known") < least), line), "undecided-lines"
+        )
+        if rest.isEmpty():
+            return reduce(lambda x, y: x.union(y), found)
+        against = rest.select(*line, F.col("fingerprint").alias("a")).join(
+            heads.select(*line, F.col("fingerprint").alias("b")), line
+        )
+        near = settle(_near_pairs(against.select("host", "a", "b").distinct(), codes, "head-lines"), "near-heads")
+        gone = against.join(near, ["host", "a", "b"]).select(*line, F.col("a").alias("fingerprint")).distinct()
+        live = settle(rest.join(gone, [*line, "fingerprint"], "left_anti"), "held-lines")
+
+
+def boilerplate(docs, host="source", text="text", min_docs=MIN_DOCS, min_share=MIN_SHARE):
     """``host, fingerprint, removed_words, removed`` of each host's texts that hold lines above the
     limits; ``removed`` are those lines' hashes. Texts are told apart by a 64-bit hash.
 
-    A host or a line with a third of all rows is summed before it is shuffled, in both counts.
+    A host or a line with a third of all rows is summed before it is shuffled.
     """
-    entry = lambda line: F.struct(
-        line_hash(line).alias("hash"), F.size(words_of(line)).alias("words")
+    lines = F.transform(
+        F.transform(
+            lines_of(F.col(text)),
+            lambda line: F.struct(_plain(line).alias("plain"), F.size(words_of(line)).alias("words")),
+        ),
+        lambda x: F.struct(
+            F.xxhash64(x["plain"]).alias("hash"), x["words"].alias("words"), F.size(F.split(x["plain"], " ")).alias("size")
+        ),
     )
     texts = settle(
         docs.filter(F.col(text).isNotNull())
         .groupBy(_host(host).alias("host"), F.xxhash64(text).alias("fingerprint"))
-        .agg(F.first(F.transform(lines_of(F.col(text)), entry)).alias("lines")),
+        .agg(F.first(lines).alias("lines")),
         "line-hashes",
     )
-    held = texts.select(
-        "host", F.explode(F.array_distinct("lines.hash")).alias("hash"), F.array_min("lines.hash").alias("key")
-    )
+    held = texts.select("host", "fingerprint", F.explode(F.array_distinct("lines.hash")).alias("hash"))
     sizes = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    often = (
-        held.groupBy("host", "hash", "key").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("host", "hash").agg(F.sum("n").alias("n_docs"), F.count(F.lit(1)).alias("n_keys"))
-        .filter((F.col("n_docs") >= min_docs) & (F.col("n_keys") >= min_variety * F.col("n_docs")))
-    )
-    often = settle(often, "frequent-lines").join(settle(sizes, "host-sizes"), "host").filter(
-        F.col("n_docs") >= min_share * F.col("host_docs")
+    frequent = settle(
+        held.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs),
+        "frequent-lines",
+    ).join(settle(sizes, "host-sizes"), "host").filter(F.col("n_docs") >= min_share * F.col("host_docs"))
+    frequent = settle(frequent.select("host", "hash"), "shared-lines")
+    code = lambda x: x["hash"].bitwiseAND(F.lit(~_SIZE_BITS).cast("long")).bitwiseOR(
+        F.least(x["size"], F.lit(_SIZE_BITS)).cast("long")
     )
-    often = settle(often.select("host", "hash"), "boilerplate-lines")
+    codes = texts.select("host", "fingerprint", F.array_distinct(F.transform("lines", code)).alias("codes"))
+    often = settle(distinct_holders(held.join(frequent, ["host", "hash"]), codes, min_docs), "boilerplate-lines")
     return settle(
         texts.select("host", "fingerprint", F.inline("lines"))
         .join(often, ["host", "hash"])
