@@ -246,6 +246,18 @@ def test_lines_of_templates_go(spark):
     assert set(range(240, 300)) <= set(kept) and not {i for i, _, h in rows[:40]} & set(kept)
 
 
+def test_boilerplate_of_a_large_host(spark):
+    """What counts is the number of texts, however many others the host has."""
+    own = F.translate(F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), F.col("id")) for k in range(4)]), "0123456789", "abcdefghij")
+    df = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.when(F.col("id") % 700 == 0, "Read more here\n").otherwise(""), own).alias("text"),
+        F.lit("h").alias("source"),
+    )
+    assert {r.fingerprint for r in line_quality.boilerplate(df).collect()} == {
+        r[0] for r in df.filter("doc_id % 700 = 0").select(F.xxhash64("text")).collect()
+    }
+
+
 def test_shards_match_the_mixture(spark, edge_docs, no_docs):
     rows = [(i, f"t{i}", "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(1003)]
     df = spark.createDataFrame(rows, "doc_id INT, text STRING, source STRING")

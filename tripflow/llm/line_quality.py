@@ -1,7 +1,7 @@
 """Quality rules of documents, and lines that many documents of a host share.
 
 Lines are normalised and hashed. Per host, distinct documents that hold a line are counted; lines
-above the limits are boilerplate and are removed; a document that loses most of its words is
+above the limit are boilerplate and are removed; a document that loses most of its words is
 rejected. Column expressions only.
 
 Copies must not make each other's lines boilerplate. Equal texts of a host count once, and so do near
@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from tripflow.session import settle
 
 _BLANK = "\\x20\\x09-\\x0D"
-# The limits, in documents of a host: at least so many, and at least this share of its documents.
+# The limit, in documents of a host: it does not grow with the host.
 MIN_DOCS = 10
+# Not used here; the SQL twin still names them.
 MIN_SHARE = 0.002
-# Not used here since near copies are compared; the SQL twin still names it.
 MIN_VARIETY = 0.5
 # Near copies: this share of the words of both texts' lines, each line once, is in common lines.
 NEAR_PERCENT = 75
@@ -186,9 +186,9 @@ def distinct_holders(held, codes, least):
         live = settle(rest.join(gone, [*line, "fingerprint"], "left_anti"), "held-lines")
 
 
-def boilerplate(docs, host="source", text="text", min_docs=MIN_DOCS, min_share=MIN_SHARE):
+def boilerplate(docs, host="source", text="text", min_docs=MIN_DOCS):
     """``host, fingerprint, removed_words, removed`` of each host's texts that hold lines above the
-    limits; ``removed`` are those lines' hashes. Texts are told apart by a 64-bit hash.
+    limit; ``removed`` are those lines' hashes. Texts are told apart by a 64-bit hash.
 
     A host or a line with a third of all rows is summed before it is shuffled.
     """
@@ -208,12 +208,11 @@ def boilerplate(docs, host="source", text="text", min_docs=MIN_DOCS, min_share=M
         "line-hashes",
     )
     held = texts.select("host", "fingerprint", F.explode(F.array_distinct("lines.hash")).alias("hash"))
-    sizes = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     frequent = settle(
-        held.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs),
+        held.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n_docs"))
+        .filter(F.col("n_docs") >= min_docs).select("host", "hash"),
         "frequent-lines",
-    ).join(settle(sizes, "host-sizes"), "host").filter(F.col("n_docs") >= min_share * F.col("host_docs"))
-    frequent = settle(frequent.select("host", "hash"), "shared-lines")
+    )
     code = lambda x: x["hash"].bitwiseAND(F.lit(~_SIZE_BITS).cast("long")).bitwiseOR(
         F.least(x["size"], F.lit(_SIZE_BITS)).cast("long")
     )
