@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and windows of high entropy. Column expressions only.
 
 Spans are ``{start, kind_no, end}`` in code points, ``end`` exclusive. Fixed patterns come first;
-the entropy scan adds spans that touch none of theirs.
+the entropy scan adds spans that reach beyond each of theirs; spans may overlap.
 
 Entropy scan: runs of a class's characters, at least a window long, that no allow pattern covers.
 A window slides over each run; entering and leaving characters change the counts by one, and with
@@ -174,16 +174,16 @@ def entropy_spans(text):
 def scan(docs, text="text", base="_base", spans="_spans"):
     """Adds two arrays of spans: the fixed patterns', and all, each by start, then kind.
 
-    Whole texts; a null text is empty. A hexadecimal run that both classes mark is reported once,
-    by the first class.
+    Whole texts; a null text is empty. An entropy span goes only if one fixed pattern's or one of an
+    earlier class holds all of it, so a hexadecimal run that both classes mark is reported once.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    touches = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+    within = lambda a, b: (b["start"] <= a["start"]) & (a["end"] <= b["end"])
     found = docs.withColumn(base, base_spans(whole)).withColumn("_entropy", entropy_spans(whole))
     fresh = F.filter(
         "_entropy",
-        lambda s: ~F.exists(base, lambda b: touches(s, b))
-        & ~F.exists("_entropy", lambda o: (o["kind_no"] < s["kind_no"]) & touches(s, o)),
+        lambda s: ~F.exists(base, lambda b: within(s, b))
+        & ~F.exists("_entropy", lambda o: (o["kind_no"] < s["kind_no"]) & within(s, o)),
     )
     both = F.struct(F.col(base), F.sort_array(F.concat(F.col(base), fresh)).alias(spans))
     # Through a generator: a filter on spans is not pushed below it, where it would scan again.
