@@ -354,6 +354,18 @@ def test_jaccard_join(spark, edge_docs, no_docs):
     assert jaccard.join_components(no_docs).count() == 0 and jaccard.keep_one(no_docs).count() == 0
 
 
+def test_keep_one_of_repeated_and_null_ids(spark):
+    one, two, three, four = (" ".join(f"{c}{k}" for k in range(30)) for c in "pqrs")
+    rows = [
+        (1, one), (1, one), (2, one), (1, one + " more"),  # a repeated row, a copy, a near copy of the same id
+        (5, two), (5, three), (4, three),  # an id in two components, smallest in one
+        (None, four), (None, four), (None, four + " more"), (None, two), (7, ""), (7, ""), (None, None),
+    ]
+    df = spark.createDataFrame(rows, "doc_id INT, text STRING").repartition(3)
+    want = [(1, one), (5, two), (4, three), (None, four), (7, ""), (7, ""), (None, None)]
+    assert sorted(map(repr, map(tuple, jaccard.keep_one(df).collect()))) == sorted(map(repr, want))
+
+
 def test_tree_finds_all_pairs_within_the_bound():
     rng = np.random.default_rng(3)
     points = rng.poisson(rng.uniform(0.5, 6, (400, 1)), (400, 16))

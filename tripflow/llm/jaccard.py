@@ -485,10 +485,41 @@ def join_components(docs, k=SHINGLE, percent=PERCENT, doc_id="doc_id", text="tex
 
 
 def keep_one(docs, doc_id="doc_id", text="text"):
-    """The documents with one of each component left: the row with its smallest id, and of several
-    such rows one of the smallest text. Rows with a null id are kept if their component has no id."""
+    """The documents with one row of each component left: one with its smallest id, and of several such
+    rows one of the smallest text. A row with a null id is kept if its component has no id. Rows without
+    shingles are all kept. Rows are told apart by a 64-bit hash of id and text."""
     names = docs.columns
-    found = join_components(docs, doc_id=doc_id, text=text)
-    kept = found.filter(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("_id")).distinct()
-    rows = docs.join(settle(kept, "kept-documents"), F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
-    return rows.select(*names)
+    keyed = docs.withColumn(
+        "_row", F.xxhash64(F.col(doc_id).isNull(), F.col(doc_id), F.col(text).isNull(), F.col(text))
+    )
+    found = document_sets(keyed, doc_id="_row", text=text)
+    labels = components(set_links(found))
+    rows = settle(
+        found.filter("n > 0").join(labels, "node", "left").groupBy(F.col("doc_id").alias("_row"))
+        .agg(F.min(F.coalesce("label", "node")).alias("_label"), F.count(F.lit(1)).alias("_times")),
+        "row-components",
+    )
+    ids = settle(keyed.select("_row", F.col(doc_id).alias("_id")).distinct().join(rows, "_row"), "row-ids")
+    least = ids.groupBy("_label").agg(F.min("_id").alias("_least"))
+    firsts = settle(
+        ids.join(least, "_label").filter(F.col("_id").eqNullSafe(F.col("_least"))).select("_label", "_row", "_times"),
+        "rows-of-least-id",
+    )
+    first = firsts.groupBy("_label").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_row"), F.min("_times").alias("_times")
+    )
+    first = settle(first, "first-rows")
+    tied = (
+        firsts.join(first.filter("_n > 1").select("_label"), "_label")
+        .join(keyed.select("_row", F.col(text).alias("_text")), "_row")
+        .groupBy("_label").agg(F.min(F.struct("_text", "_row", "_times")).alias("_first"))
+        .select("_first._row", "_first._times")
+    )
+    chosen = settle(first.filter("_n = 1").select("_row", "_times").union(tied), "kept-rows")
+    blank = found.filter("n = 0").select(F.col("doc_id").alias("_row")).distinct()
+    once = chosen.filter("_times = 1").select("_row").union(blank)
+    again = chosen.filter("_times > 1").select("_row")
+    kept = keyed.join(settle(once, "single-rows"), "_row", "left_semi").select(*names)
+    return kept.union(
+        keyed.join(settle(again, "repeated-rows"), "_row", "left_semi").dropDuplicates(["_row"]).select(*names)
+    )
