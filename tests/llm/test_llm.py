@@ -354,6 +354,15 @@ def test_jaccard_join(spark, edge_docs, no_docs):
     assert jaccard.join_components(no_docs).count() == 0 and jaccard.keep_one(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("n", range(7))
+def test_shingles_of_a_run_of_few_words(n):
+    text = " ".join("abcdefg"[:n])
+    (start, stop, (found,)), = jaccard.shingle_sets(pa.array([text]))
+    assert (start, stop, len(found)) == (0, 1, 0 if n == 0 else max(1, n - 4))
+    (_, _, sets), = jaccard.shingle_sets(pa.array([text, "one two three four five six"]))
+    assert sets[0].tolist() == found.tolist()
+
+
 def test_keep_one_of_repeated_and_null_ids(spark):
     one, two, three, four = (" ".join(f"{c}{k}" for k in range(30)) for c in "pqrs")
     rows = [

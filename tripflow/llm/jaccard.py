@@ -66,7 +66,7 @@ def shingle_sets(texts, k=SHINGLE):
             index = index[real]
         h = hashes[index]
         rolled = np.zeros(max(0, len(h) - k + 1), np.uint64)
-        for j in range(k):
+        for j in range(k if len(rolled) else 0):
             rolled = rolled * np.uint64(_MULTIPLIER) + h[j:len(h) - k + 1 + j]
         rolled = _mix(rolled)
         sets = []
