@@ -6,18 +6,24 @@ from tripflow.llm import (
     byte_bpe,
     classifier,
     jaccard,
+    licenses,
     line_quality,
     packing,
+    prefix_trie,
     secrets,
     shards,
+    spelling,
     token_blocks,
     topk,
     url_graph,
 )
-from tripflow.llm.oracles import ORACLES
+from tripflow.llm.oracles import ORACLES as _ORACLES
+from tripflow.llm.oracles_groups import ORACLES as _GROUP_ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
+ORACLES = {**_ORACLES, **_GROUP_ORACLES}
+
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -71,10 +77,23 @@ def op10_packing(spark, sf_dir):
     return packing.packed_pieces(_documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op11_license_join(spark, sf_dir):
+    return licenses.license_report(_documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variant_report(_documents(spark, sf_dir))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie_report(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_graph, op2_secret_scan, op3_line_quality, op4_token_blocks, op5_interleaved_shards,
         op6_top_products, op7_jaccard_join, op8_byte_bpe, op9_quality_classifier, op10_packing,
+        op11_license_join, op12_spelling_variants, op13_prefix_trie,
     )
 }
