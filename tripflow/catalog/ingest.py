@@ -250,7 +250,10 @@ def status_cte(seconds):
       max(rows_per_second) AS max_rate, sum(discarded_rows)::BIGINT AS discarded_rows FROM status GROUP BY 1, 2""",
 )
 def status_10s(spark, sf_dir):
-    status = ingest_status(tenant_ledger(spark, sf_dir))
+    return status_by_hour(ingest_status(tenant_ledger(spark, sf_dir)))
+
+
+def status_by_hour(status):
     return status.groupBy("tenant_id", F.substring("timestamp", 1, 13).alias("hour")).agg(
         F.count(F.lit(1)).alias("intervals"),
         F.count_if(F.col("rows_processed") == 0).alias("empty_intervals"),

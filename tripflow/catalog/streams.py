@@ -43,11 +43,12 @@ from tripflow.catalog.ingest import (
     ny_columns,
     sessions_cte,
     staged_trips,
+    status_by_hour,
     status_cte,
 )
 from tripflow.catalog.registry import ORACLES, query
 from tripflow.operators.ingest import activity_sessions, ingest_status, run_report
-from tripflow.operators.monitor import recommend_actions, status_warnings
+from tripflow.operators.monitor import breaches, recommend_actions, status_warnings
 from tripflow.operators.trips import drop_repeats
 from tripflow.operators.upsert import read_table, upsert
 from tripflow.plans.analytics import FEED_TOPIC, gold_batch, silver_analytics
@@ -55,12 +56,13 @@ from tripflow.plans.batch_ingest import ingest_staged, staging_decisions
 from tripflow.plans.dynamic_ingest import ingest_dynamic
 from tripflow.plans.stream_ingest import chicago_stream_ingest, ny_stream_ingest, read_ledger
 from tripflow.schemas import AGREEMENT, GOLD
-from tripflow.session import fresh_dir
+from tripflow.session import ROCKS_DB, fresh_dir
 from tripflow.sources.agreements import read_agreements
 from tripflow.sources.files import new_silver, read_silver
 from tripflow.sources.messages import read_messages
 from tripflow.streaming.bronze import read_bronze, write_bronze
-from tripflow.streaming.runs import live_status, silver_stream
+from tripflow.streaming.control import CONTROL, run_actions, status_reports, tenant_control, watch
+from tripflow.streaming.runs import silver_stream
 from tripflow.streaming.sinks import (
     start,
     upsert_sink,
@@ -70,6 +72,10 @@ from tripflow.streaming.sinks import (
 )
 
 
+# The given events start on this day.
+FIRST_DAY = "2024-01-01"
+
+
 def stream_events(spark, sf_dir):
     whole = table(spark, sf_dir, "events")
     stream = (
@@ -347,20 +353,101 @@ def stream_silver_updates(spark, sf_dir):
     return read_table(spark, f"{base}/live").select(*silver_columns())
 
 
+def control_run(spark, sf_dir, interval, gap, parts=3):
+    """The control stream over the ledger, which arrives in parts; the stream stops after each part
+    and goes on from its checkpoint."""
+    base = fresh_dir(spark, "control")
+    rows = ledger(table(spark, sf_dir, "events"))
+    days = F.datediff("ingest_ts", F.lit(FIRST_DAY))
+    number = F.least(F.floor(days / F.lit(12)), F.lit(parts - 1))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    for part in range(parts):
+        rows.filter(number == part).write.mode("append").parquet(f"{base}/arrivals")
+        arrivals = spark.readStream.schema(rows.schema).parquet(f"{base}/arrivals")
+        control = tenant_control(arrivals, interval, gap)
+        start(control, f"{base}/_control", f"{base}/control").awaitTermination()
+    return base
+
+
+def _stored_control(spark, base):
+    return spark.read.schema(CONTROL).parquet(f"{base}/control")
+
+
+# The watermark at the end of the stream: a second behind the last arrival, in whole milliseconds.
+END_CTE = """, ended AS (SELECT (max(epoch_us(ingest_ts)) // 1000 - 1000) * 1000 AS wm FROM led)"""
+
+
+def live_status_cte(seconds):
+    """Status of each interval that has ended, also of those after a tenant's last row."""
+    us = seconds * 1_000_000
+    return f"""WITH {LEDGER_CTE}{END_CTE}, span AS (SELECT tenant, min(epoch_us(ingest_ts)) AS f FROM led GROUP BY 1),
+grid AS (SELECT tenant, f, unnest(generate_series(0, (wm - f) // {us} - 1)) AS interval_no FROM span, ended),
+cnt AS (SELECT led.tenant, (epoch_us(ingest_ts) - f) // {us} AS interval_no, count(*) AS n,
+    count(*) FILTER (disposition = 'discarded') AS d FROM led JOIN span ON led.tenant = span.tenant GROUP BY 1, 2),
+status AS (SELECT grid.tenant AS tenant_id, grid.interval_no,
+    strftime(make_timestamp(f + (grid.interval_no + 1) * {us}), '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
+    coalesce(n, 0) AS rows_processed, coalesce(n, 0) / {seconds}.0::DOUBLE AS rows_per_second,
+    coalesce(d, 0) AS discarded_rows
+  FROM grid LEFT JOIN cnt ON grid.tenant = cnt.tenant AND grid.interval_no = cnt.interval_no)"""
+
+
+@query("stream_live_status", live_status_cte(600) + " SELECT * FROM status")
+def stream_live_status(spark, sf_dir):
+    base = control_run(spark, sf_dir, "10 minutes", "20 minutes")
+    return status_reports(_stored_control(spark, base), "10 minutes")
+
+
 @query(
-    "stream_live_status",
-    f"""WITH {LEDGER_CTE} SELECT tenant AS tenant_id, count(*) AS rows_processed,
-          count(*) FILTER (disposition = 'discarded') AS discarded_rows FROM led GROUP BY 1""",
+    "stream_status_10s",
+    live_status_cte(10) + """ SELECT tenant_id, left("timestamp", 13) AS "hour", count(*) AS intervals,
+      count(*) FILTER (rows_processed = 0) AS empty_intervals, sum(rows_processed)::BIGINT AS rows_processed,
+      max(rows_per_second) AS max_rate, sum(discarded_rows)::BIGINT AS discarded_rows FROM status GROUP BY 1, 2""",
 )
-def stream_live_status(spark, sf_dir):
-    base = fresh_dir(spark, "live")
+def stream_status_10s(spark, sf_dir):
+    base = control_run(spark, sf_dir, "10 seconds", "60 seconds")
+    return status_by_hour(status_reports(_stored_control(spark, base), "10 seconds"))
 
-    def keep(status, batch_id):
-        status.write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}")
 
-    rows = ledger(stream_events(spark, sf_dir))
-    live_status(rows, keep, f"{base}/_checkpoint", {"availableNow": True}).awaitTermination()
-    return spark.read.parquet(base).select("tenant_id", "rows_processed", "discarded_rows")
+@query(
+    "stream_actions",
+    sessions_cte(1200) + END_CTE + """ SELECT tenant, start_us AS at_us, 'start' AS action FROM runs
+      UNION ALL SELECT tenant, last_us + 1200000000, 'stop' FROM runs, ended WHERE last_us + 1200000000 <= wm""",
+)
+def stream_actions(spark, sf_dir):
+    base = control_run(spark, sf_dir, "1 hour", "20 minutes")
+    return run_actions(_stored_control(spark, base)).select("tenant", F.unix_micros("at").alias("at_us"), "action")
+
+
+# The third tenant states no limits.
+_BREACH_SQL = """, lim(tenant, speed, min_rows, ratio) AS (VALUES ('chicagotenant', 10.0, 1, 0.2),
+  ('nytenant', 2.0, 10, 0.01)),
+warned AS (SELECT tenant_id AS tenant, interval_no, CASE
+    WHEN CASE WHEN rows_processed > 0 THEN discarded_rows / (discarded_rows + rows_processed)::DOUBLE ELSE 1 END
+      > coalesce(ratio, 0.5) THEN 'maxDiscardedRowsRelation'
+    WHEN rows_processed < coalesce(min_rows, 1) THEN 'minRowsProcessed'
+    WHEN rows_per_second * 48 < coalesce(speed, 0) THEN 'minimumIngestionSpeed' END AS warning
+  FROM status LEFT JOIN lim ON tenant_id = tenant),
+told AS (SELECT *, lag(warning) OVER (PARTITION BY tenant ORDER BY interval_no) AS earlier FROM warned)
+SELECT tenant, interval_no, warning,
+  CASE WHEN warning = 'maxDiscardedRowsRelation' THEN 'stop' ELSE 'restart' END AS action
+FROM told WHERE warning IS NOT NULL AND warning IS DISTINCT FROM earlier"""
+
+
+@query("status_breaches", status_cte(1800) + _BREACH_SQL)
+def status_breaches(spark, sf_dir):
+    status = ingest_status(ledger(table(spark, sf_dir, "events")), "30 minutes")
+    found = breaches(status, limits(spark).filter("tenant <> 'thirdtenant'"))
+    return found.select("tenant", "interval_no", "warning", "action")
+
+
+@query("stream_breaches", live_status_cte(1800) + _BREACH_SQL)
+def stream_breaches(spark, sf_dir):
+    base = control_run(spark, sf_dir, "30 minutes", "20 minutes")
+    stored = spark.readStream.schema(CONTROL).option("maxFilesPerTrigger", 2).parquet(f"{base}/control")
+    status = status_reports(stored, "30 minutes")
+    watch(status, lambda: limits(spark).filter("tenant <> 'thirdtenant'"), f"{base}/watch").awaitTermination()
+    found = spark.read.schema("tenant STRING, interval_no BIGINT, warning STRING, action STRING")
+    return found.parquet(f"{base}/watch/breaches/batch_id=*")
 
 
 @query(

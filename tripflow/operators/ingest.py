@@ -41,7 +41,7 @@ def ingest_status(df, interval=STATUS_INTERVAL):
 
     Intervals start at the tenant's first row and run without gaps to its last; all rows
     count as processed, the discarded ones too. Batch (a replay); the live form is
-    ``streaming.runs.live_status``.
+    ``streaming.control.status_reports``.
     """
     seconds = interval_seconds(interval)
     width = F.lit(seconds * 1_000_000)

@@ -4,6 +4,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app="tripflow", master=None, **conf):
     """A session with the settings the operators rely on; ``conf`` wins over the defaults."""
@@ -15,8 +17,7 @@ def build_session(app="tripflow", master=None, **conf):
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         # Window and session state lives off heap on the executors' disks and is
         # committed to the checkpoint folder.
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.providerClass": ROCKS_DB,
         **conf,
     }
     builder = SparkSession.builder.appName(app)

@@ -50,32 +50,6 @@ def feed_streams(bronze, size=WINDOW_SIZE, delay=WATERMARK_DELAY, lateness=ALLOW
     }
 
 
-def live_status(rows, write, checkpoint, trigger=None):
-    """Status per tenant of each micro-batch, handed to ``write`` (status rows, batch id).
-
-    With a 10 s trigger a batch holds the rows of about one interval; the exact replay by
-    arrival time is ``operators.ingest.ingest_status``.
-    """
-    trigger = trigger or {"processingTime": "10 seconds"}
-    seconds = interval_seconds(trigger["processingTime"]) if "processingTime" in trigger else None
-
-    def report(batch, batch_id):
-        status = batch.groupBy(F.col("tenant").alias("tenant_id")).agg(
-            F.date_format(F.max("ingest_ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-            F.count(F.lit(1)).alias("rows_processed"),
-            (F.count(F.lit(1)) / F.lit(seconds).cast("double")).alias("rows_per_second"),
-            F.count_if(F.col("disposition") == "discarded").alias("discarded_rows"),
-        )
-        write(status, batch_id)
-
-    return (
-        rows.writeStream.foreachBatch(report)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
-
-
 def run_gold_incremental(spark, silver_dir, gold_dir, checkpoint, fmt="parquet",
                          archive_dir=None, trigger=None):
     """Gold per silver directory of the files that came since the last run.
