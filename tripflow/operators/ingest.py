@@ -3,10 +3,10 @@
 Rows carry ``tenant``, ``ingest_ts`` and ``disposition`` (``ok``, ``discarded``, ``errored``).
 """
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.units import per_second, row_kb
+from tripflow.operators.scans import running
 from tripflow.schemas import SILENCE_LIMIT, STATUS_INTERVAL
 from tripflow.session import interval_seconds, settle
 
@@ -103,7 +103,8 @@ def activity_sessions(df, gap=SILENCE_LIMIT):
 
     Batch: arrivals are first counted per tenant and gap-long cell. Rows of one cell are
     always in the same run, so the runs follow from at most one row per cell, however
-    many messages a tenant sends. Streaming (needs a watermark on ``ingest_ts``): Spark's
+    many messages a tenant sends, and fragments of runs are merged over stretches of cells,
+    so no task orders a tenant's history. Streaming (needs a watermark on ``ingest_ts``): Spark's
     session windows.
     """
     seconds = interval_seconds(gap)
@@ -130,11 +131,18 @@ def activity_sessions(df, gap=SILENCE_LIMIT):
         F.max("ingest_ts").alias("last_msg"),
         *[c.alias(name) for name, c in counts.items()],
     )
-    in_order = Window.partitionBy("tenant").orderBy("_cell")
-    silence = F.unix_micros("start") - F.unix_micros(F.lag("last_msg").over(in_order))
+    cells = settle(cells.withColumn("_cell", F.expr(f"_cell div {seconds * 1_000_000}")), "cells")
+    # Less than a gap apart are only rows of the same cell or of neighbours, so a cell looks at
+    # the one before it, and a run is known by the cell that starts it.
+    before = cells.select("tenant", (F.col("_cell") + 1).alias("_cell"), F.col("last_msg").alias("_before"))
+    silence = F.unix_micros("start") - F.unix_micros("_before")
+    starts = settle(
+        cells.join(before, ["tenant", "_cell"], "left")
+        .select("tenant", "_cell", F.when(silence <= width, F.lit(None)).otherwise(F.col("_cell")).alias("_run")),
+        "run-starts",
+    )
     return (
-        cells.withColumn("_starts", F.when(silence <= width, 0).otherwise(1))
-        .withColumn("_run", F.sum("_starts").over(in_order))
+        cells.join(running(starts, ["tenant"], "_cell", "_run", F.max), ["tenant", "_cell"])
         .groupBy("tenant", "_run")
         .agg(
             F.min("start").alias("start"),

@@ -1,15 +1,12 @@
 """Late rows, judged record by record in arrival order."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.times import epoch_ms
+from tripflow.operators.scans import running
 from tripflow.schemas import ALLOWED_LATENESS, WATERMARK_DELAY, WINDOW_SIZE
 from tripflow.session import interval_seconds, settle
 
-# Windows per block of the running minimum; only bounds the work of one task.
-WINDOWS_PER_BLOCK = 4096
-
 
 def arrival_number(ingest_ts="ingest_ts", seq="seq"):
     """Arrival order as one number: microseconds of arrival, then the arrival number.
@@ -33,7 +30,8 @@ def window_closings(rows, size_ms, wait_ms):
     A row with event time ``e`` closes every window whose end plus the wait is not after
     ``e``. So the closing arrival of a window is the smallest arrival over all rows that
     far ahead: one partial aggregation to a row per window, then a running minimum from
-    the last window back, taken within blocks of windows and across the block minima.
+    the last window back, by a tree over the windows' numbers. Event times of bogus years
+    make more stretches, but none that all lie in one task.
     """
     event = F.col("_event_ms")
     cells = rows.groupBy(
@@ -41,8 +39,7 @@ def window_closings(rows, size_ms, wait_ms):
         (_grid_start(event - wait_ms, size_ms) - size_ms).alias("_closes_ms"),
     ).agg(F.min("_arrival").alias("_first"))
     no_arrival = F.lit(None).cast("DECIMAL(38,0)")
-    block_ms = size_ms * WINDOWS_PER_BLOCK
-    per_window = (
+    per_window = settle(
         cells.select(
             F.inline(
                 F.array(
@@ -51,29 +48,13 @@ def window_closings(rows, size_ms, wait_ms):
                 )
             )
         )
-        .groupBy("_window_ms")
-        .agg(F.min("_first").alias("_first"))
-        .withColumn("_block", _grid_start(F.col("_window_ms"), block_ms))
-    )
-    later_windows = (
-        Window.partitionBy("_block")
-        .orderBy(F.desc("_window_ms"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    # One row per block: the whole time span divided by 4,096 windows.
-    later_blocks = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        per_window.groupBy("_block")
-        .agg(F.min("_first").alias("_block_first"))
-        .withColumn("_later_first", F.min("_block_first").over(later_blocks))
-        .select("_block", "_later_first")
+        .groupBy(F.expr(f"_window_ms div {size_ms}").alias("_number"))
+        .agg(F.min("_first").alias("_closed_by")),
+        "windows",
     )
     return (
-        per_window.withColumn("_first", F.min("_first").over(later_windows))
-        .join(blocks, "_block", "left")
-        .select(
-            "_window_ms", F.least("_first", "_later_first").alias("_closed_by")
-        )
+        running(per_window, [], "_number", "_closed_by", F.min, falling=True)
+        .select((F.col("_number") * size_ms).alias("_window_ms"), "_closed_by")
         .filter("_closed_by IS NOT NULL")
     )
 
