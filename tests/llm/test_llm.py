@@ -2,6 +2,7 @@
 
 import math
 import os
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -38,7 +39,6 @@ BYTES, RANKS, WORDS = (
 
 def library(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -51,13 +51,35 @@ def test_query_against_sql(spark, sf_dir, name):
     assert differences(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLES[name]) == ""
 
 
-def test_words_encode_as_whole_texts():
-    texts = ["İ# x İstanbul.", "a \n b", "  a", "a<|endoftext|>b", "é́ ́e", "\x1c a\x1f", "don't 'S 12,3", "a  b"]
-    for path, spaced in ((BYTES, True), (WORDS, False)):
-        encoder = words.WordEncoder(words.tokenizer_encoder(path), spaced, limit=4)
-        (_, _, ids, counts), = encoder.texts(pa.array(texts))
-        want = [library(path)(t) for t in texts]
-        assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+def odd_texts(n, seed=7):
+    """Texts of odd blanks, marks, scripts and special strings."""
+    rng = random.Random(seed)
+    bits = ["a", "Word", "don't", "'S", "12,3", ".", "...", "é", "e\u0301", "İ#", "ß!", "日本", "\u0301", "\x1c", "\x85", "\xa0",
+            "\u2003", "\t", "\r", "\n", "\n\n", " ", "  ", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "😀", "x" * 80, "\x00", "\u200b"]
+    return ["".join(rng.choice(bits) + rng.choice(["", "", " "]) for _ in range(rng.randrange(12))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("limit", [0, 3000, 32_000_000])
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_encode_as_whole_texts(path, limit):
+    texts = ["İ# x İstanbul.", "a \n b", "  a", "a<|endoftext|>b", "é́ ́e", "\x1c a\x1f", "don't 'S 12,3", "a  b", "", None, *odd_texts(1500)]
+    encoder = words.WordEncoder(words.TokenizerFile(path), path == BYTES, packing.lower_ascii if path == WORDS else None, limit)
+    want, library_ids = list(map(library(path), texts)), []
+    for start in range(0, len(texts), 100):
+        for _, _, ids, counts in encoder.texts(pa.array(texts[start:start + 100])):
+            library_ids += [run.tolist() for run in np.split(ids, np.cumsum(counts)[:-1])]
+    assert library_ids == want
+    assert encoder.names.nbytes + encoder.flat.nbytes <= max(limit, 1000)
+
+
+def test_special_strings_as_plain_text():
+    tokenizer = Tokenizer.from_file(BYTES)
+    tokenizer.encode_special_tokens = True
+    encoder = words.WordEncoder(words.TokenizerFile(BYTES, plain=True), True)
+    texts = odd_texts(300)
+    (_, _, ids, _), = encoder.texts(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+    assert library(BYTES)("a <|endoftext|> b") == [64, 220, 50256, 275]
 
 
 @pytest.mark.parametrize("ids", [[], [7], [0] * 600, list(range(5000)), [2**32 - 1, 0] * 300])

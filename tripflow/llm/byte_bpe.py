@@ -73,69 +73,91 @@ def build_model(ranks):
     return b"".join(pieces) + unknown + _field(2, trainer) + _field(3, normalizer)
 
 
+class _Coder:
+    """Pre-tokens of the pattern through sentencepiece. There are no special strings."""
+
+    specials = ()
+
+    def __init__(self, ranks_path, pattern):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=build_model(read_ranks(ranks_path)))
+        self.split = regex.compile(pattern)
+
+    def texts(self, texts):
+        groups = [self.split.findall(t) for t in texts]
+        pieces = [to_piece(p.encode()) for g in groups for p in g]
+        lists = self.model.encode(pieces, out_type=int, num_threads=1)
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.concatenate([[0], np.cumsum([len(g) for g in groups])]).astype(np.int64)
+        return np.fromiter((i for ids in lists for i in ids), np.uint32, int(ends[-1])), np.diff(ends[at])
+
+    def parts(self, parts):
+        return self.texts(parts.to_pylist())
+
+
 @functools.lru_cache(maxsize=2)
-def _coder(ranks_path, pattern):
-    import sentencepiece
+def _encoder(ranks_path, pattern):
+    return WordEncoder(_Coder(ranks_path, pattern), spaced=True)
 
-    ranks = read_ranks(ranks_path)
-    model = sentencepiece.SentencePieceProcessor(model_proto=build_model(ranks))
-    split = regex.compile(pattern)
-
-    def encode(texts):
-        groups = [split.findall(t) for t in texts]
-        flat = model.encode(
-            [to_piece(p.encode()) for g in groups for p in g], out_type=int, num_threads=1
-        )
-        out, at = [], 0
-        for g in groups:
-            out.append([i for ids in flat[at:at + len(g)] for i in ids])
-            at += len(g)
-        return out
 
+@functools.lru_cache(maxsize=2)
+def _byte_table(ranks_path):
+    """The bytes of all tokens, and where each begins and how long it is."""
+    ranks = read_ranks(ranks_path)
     tokens = sorted(ranks, key=ranks.get)
     lengths = np.array([len(t) for t in tokens], np.int64)
-    return (
-        WordEncoder(encode, spaced=True), np.frombuffer(b"".join(tokens), np.uint8),
-        np.cumsum(lengths) - lengths, lengths,
-    )
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
 
 
-def encode_documents(docs, ranks_path, doc_id="doc_id", text="text", pattern=PATTERN):
-    """Each document's id, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers).
+def _decode(ids, table):
+    flat, starts, lengths = table
+    return take_runs(flat, starts[ids], lengths[ids]).tobytes()
+
+
+def encode_documents(docs, ranks_path, doc_id="doc_id", text="text", pattern=PATTERN, decoded=False):
+    """Each document's id, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers); with
+    ``decoded`` also the bytes that the ids stand for, by the inverse mapping, in the same pass.
 
     Whole texts; a null or empty text has no ids; one row out for each row in.
     """
-    schema = T.StructType([
+    fields = [
         T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField("n_tokens", T.LongType()),
         T.StructField("ids", T.BinaryType()),
-    ])
+    ]
+    schema = T.StructType(fields + [T.StructField("decoded", T.BinaryType())] * decoded)
 
     def run(batches):
-        encoder = _coder(ranks_path, pattern)[0]
+        encoder = _encoder(ranks_path, pattern)
         for batch in batches:
             for start, stop, ids, counts in encoder.texts(batch.column(1)):
-                raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts)
-                cuts = zip((ends - counts).tolist(), ends.tolist(), strict=True)
-                yield pa.RecordBatch.from_arrays([
+                ends = np.cumsum(counts)
+                cuts = list(zip((ends - counts).tolist(), ends.tolist(), strict=True))
+                raw = ids.astype("<u4").tobytes()
+                columns = [
                     batch.column(0).slice(start, stop - start), pa.array(counts),
                     pa.array([raw[4 * a:4 * b] for a, b in cuts], pa.binary()),
-                ], names=schema.names)
+                ]
+                if decoded:
+                    table = _byte_table(ranks_path)
+                    text_bytes = _decode(ids, table)
+                    at = np.concatenate([[0], np.cumsum(table[2][ids])])
+                    columns.append(pa.array([text_bytes[at[a]:at[b]] for a, b in cuts], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select(doc_id, text).mapInArrow(run, schema)
 
 
-def decode_documents(encoded, ranks_path, pattern=PATTERN):
-    """Adds ``decoded``: the bytes that a document's ``ids`` stand for."""
+def decode_documents(encoded, ranks_path):
+    """Adds ``decoded``: the bytes that a document's ``ids`` stand for. Needs no model."""
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
     column = encoded.columns.index("ids")
 
     def run(batches):
-        _, flat, starts, lengths = _coder(ranks_path, pattern)
+        table = _byte_table(ranks_path)
         for batch in batches:
-            out = []
-            for raw in batch.column(column):
-                ids = np.frombuffer(raw.as_py(), "<u4")
-                out.append(take_runs(flat, starts[ids], lengths[ids]).tobytes())
+            out = [_decode(np.frombuffer(raw.as_py(), "<u4"), table) for raw in batch.column(column)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary())], names=schema.names
             )
@@ -145,7 +167,7 @@ def decode_documents(encoded, ranks_path, pattern=PATTERN):
 
 def round_trip_digests(docs, ranks_path):
     """Encode, decode, and digest both."""
-    return decode_documents(encode_documents(docs, ranks_path), ranks_path).select(
+    return encode_documents(docs, ranks_path, decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )

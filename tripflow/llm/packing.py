@@ -13,10 +13,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.words import WordEncoder, tokenizer_encoder
+from tripflow.llm.words import TokenizerFile, WordEncoder
 from tripflow.session import settle
 from tripflow.sources.files import number_rows
 
@@ -91,11 +92,16 @@ def _plan_rows(counts, capacity):
     return rows
 
 
+def lower_ascii(words):
+    """Words of ASCII in lower case, so that both cases are encoded once."""
+    return pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+
+
 @functools.lru_cache(maxsize=2)
 def _encoder(tokenizer):
     return WordEncoder(
-        tokenizer_encoder(tokenizer), spaced=False,
-        fold=lambda word: word.lower() if word.isascii() else word,
+        TokenizerFile(tokenizer), spaced=False,
+        fold=lower_ascii,
     )
 
 

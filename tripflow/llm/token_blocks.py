@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.words import WordEncoder, tokenizer_encoder
+from tripflow.llm.words import TokenizerFile, WordEncoder
 from tripflow.session import fresh_dir, settle
 
 MAGIC = b"PFR1"
@@ -118,7 +118,7 @@ def unpack_ids(segment, first=0, last=None):
 
 @functools.lru_cache(maxsize=2)
 def _encoder(tokenizer):
-    return WordEncoder(tokenizer_encoder(tokenizer), spaced=True)
+    return WordEncoder(TokenizerFile(tokenizer), spaced=True)
 
 
 def _write(tokenizer, end_id, id_type):

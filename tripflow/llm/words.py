@@ -1,8 +1,10 @@
-"""Encode whole texts with a subword tokenizer through a bounded cache of words.
+"""Encode whole texts with a subword tokenizer through a bounded dictionary of words.
 
 Pre-tokens never span a blank between two non-blank characters, so a text is the
-concatenation of its words' encodings. Arrow splits and codes the words of a slice of
-texts; the tokenizer sees each word once, and numpy puts the ids together.
+concatenation of its words' encodings. Arrow splits the words of a slice of texts and looks them up
+in a dictionary that a worker keeps from slice to slice, ids beside it as one flat array. Only
+words that are not in it become Python strings, and the tokenizer sees them in one run; numpy
+puts the ids together. The dictionary is bounded in bytes; what was not used for longest goes.
 """
 
 import os
@@ -13,22 +15,54 @@ import pyarrow.compute as pc
 
 # Ends of words that both vocabularies' patterns split from a letter or digit before them.
 _ENDS = ".,*%$&#!|:;?"
-_SLICE_BYTES = 3_000_000
+_SLICE_BYTES = 4_000_000
+_KEPT_BYTES = 32_000_000
 _LONG_WORD = 64
+_JOINED = 4096
 _PREFIXES = ("", " ", "\n")
 _FIRST, _SPACED, _LINE = range(3)
+# White space or other control characters at an end of a word, or no word: more than needed.
+_BLANKS = r"\x00-\x09\x0b-\x1f\x7f-\xa0\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}\x{3000}\x{feff}"
+_HARD = rf"^(?:$|[{_BLANKS}]|[ \n](?:$|[ \n{_BLANKS}]))|[ \n{_BLANKS}]$"
 
 
-def tokenizer_encoder(path):
-    """``list[str] -> list[list[int]]`` of the tokenizers library, special strings as plain text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class TokenizerFile:
+    """A file of the tokenizers library.
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return lambda texts: [
-        e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-    ]
+    ``specials``: its special strings, which it finds in a text before anything else, as by
+    default; with ``plain`` they are ordinary text.
+    """
+
+    def __init__(self, path, plain=False):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        added = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        self.specials = [] if plain else [content for content, _ in added]
+        self.tokenizer.encode_special_tokens = plain
+        self.separator = added[0] if added and not plain else None
+
+    def texts(self, texts):
+        """The ids of whole texts, flat, and how many each has."""
+        return _flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def parts(self, parts):
+        """The same for an Arrow array of parts without special strings: joined by one, which is a
+        token of its own and keeps them apart, they are a few texts."""
+        if self.separator is None:
+            return self.texts(parts.to_pylist())
+        content, number = self.separator
+        bounds = np.append(np.arange(0, len(parts), _JOINED), len(parts)).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), parts), content).to_pylist()
+        ids, _ = self.texts([content + text for text in joined])
+        starts = np.flatnonzero(ids == number)
+        return ids[ids != number], np.diff(np.append(starts, len(ids))) - 1
+
+
+def _flat(lists):
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter((i for ids in lists for i in ids), np.uint32, int(counts.sum())), counts
 
 
 def text_slices(texts, most=_SLICE_BYTES):
@@ -54,113 +88,146 @@ def take_runs(flat, starts, lengths):
     return flat[np.arange(total) - np.repeat(ends - lengths - starts, lengths)]
 
 
-class _Memory:
-    """A bounded cache in two generations: what nobody asks for while one fills up is forgotten."""
-
-    def __init__(self, limit):
-        self.half, self.new, self.old = limit // 2, {}, {}
-
-    def look_up(self, keys):
-        """The values of a list of keys, None for those that are not known."""
-        found = list(map(self.new.get, keys))
-        for i in [i for i, value in enumerate(found) if value is None]:
-            value = self.old.get(keys[i])
-            if value is not None:
-                found[i] = self.new[keys[i]] = value
-        return found
-
-    def add(self, keys, values):
-        self.new.update((k, v) for k, v in zip(keys, values, strict=True) if len(k) <= _LONG_WORD)
-        if len(self.new) > self.half:
-            self.old, self.new = self.new, {}
-
-
 def _core(unit):
-    """Where the marks at a unit's end begin that the vocabularies' patterns split off."""
+    """A unit without the marks at its end that the vocabularies' patterns split off."""
     core = unit.rstrip(_ENDS)
-    if not core or not core[-1].isalnum() or len(core[-1].lower()) > 1:
-        return len(unit)
-    return len(core)
+    return core if core and core[-1].isalnum() and len(core[-1].lower()) == 1 else unit
 
 
 class WordEncoder:
-    """``encode``: list of texts to lists of ids. ``spaced``: a blank belongs to the word after it
-    (byte-level vocabularies); else blanks are dropped. ``fold``: applied to a word before it is
-    encoded. ``limit``: words kept, at most; half as many parts of words besides."""
-
-    def __init__(self, encode, spaced, fold=None, limit=800_000):
-        self.encode, self.spaced, self.fold = encode, spaced, fold
-        self.words, self.parts = _Memory(limit), _Memory(limit // 2)
-
-    def _encode_parts(self, parts):
-        """``{part: ids as bytes}``; the tokenizer sees the unknown ones."""
-        known = dict(zip(parts, self.parts.look_up(parts), strict=True))
-        todo = [part for part, ids in known.items() if ids is None]
-        ids = [np.array(ids, np.uint32).tobytes() for ids in (self.encode(todo) if todo else [])]
-        self.parts.add(todo, ids)
-        known.update(zip(todo, ids, strict=True))
-        known[""] = b""
-        return known
-
-    def _encode_units(self, units):
-        """The ids of each unit, as bytes."""
-        blobs = self.words.look_up(units)
-        fresh = [i for i, ids in enumerate(blobs) if ids is None]
-        if fresh:
-            names = [units[i] for i in fresh]
-            pairs = [(u[:at], u[at:]) for u in (map(self.fold, names) if self.fold else names) for at in (_core(u),)]
-            known = self._encode_parts(list({part: None for pair in pairs for part in pair if part}))
-            found = [known[core] + known[end] if end else known[core] for core, end in pairs]
-            self.words.add(names, found)
-            for i, ids in zip(fresh, found, strict=True):
-                blobs[i] = ids
-        return blobs
+    """``texts``: runs of texts to flat ids. ``coder``: has ``texts`` and ``parts`` (lists of texts to
+    flat ids and counts) and ``specials``. ``spaced``: a blank belongs to the word after it
+    (byte-level vocabularies); else blanks are dropped. ``fold``: applied to an array of words before
+    they are encoded. ``limit``: bytes of words and ids kept between slices."""
+
+    def __init__(self, coder, spaced, fold=None, limit=_KEPT_BYTES):
+        self.coder, self.spaced, self.fold, self.limit = coder, spaced, fold, limit
+        self.specials = list(coder.specials)
+        self.slice_no = 0
+        self._keep(pa.array([], pa.string()), np.zeros(0, np.uint32), *(np.zeros(0, t) for t in (np.int64, bool, np.int32)))
+
+    def _keep(self, names, flat, lengths, hard, used):
+        """The dictionary: names; their ids in ``flat``; whether white space stands at an end; last use."""
+        self.names, self.flat, self.lengths, self.hard, self.used = names, flat, lengths, hard, used
+        self.starts = np.cumsum(lengths) - lengths
+
+    def _add(self, names, flat, lengths):
+        hard = np.zeros(len(names), bool)
+        if self.spaced:
+            hard = pc.match_substring_regex(names, _HARD).to_numpy(zero_copy_only=False)
+        self._keep(
+            pa.concat_arrays([self.names, names]), np.concatenate([self.flat, flat]),
+            np.concatenate([self.lengths, lengths]), np.concatenate([self.hard, hard]),
+            np.concatenate([self.used, np.full(len(names), self.slice_no, np.int32)]),
+        )
+
+    def _places(self, units):
+        """The place of each of some distinct units in the dictionary; unknown ones are added to it."""
+        found = pc.index_in(units, value_set=self.names)
+        at = found.fill_null(-1).to_numpy()
+        if found.null_count:
+            at = at.copy()
+            at[at < 0] = self._learn(units.filter(pc.is_null(found)))
+        return at
+
+    def _learn(self, units):
+        """Add units that are not known, and the parts they are put together from."""
+        whole = self.fold(units) if self.fold else units
+        cores = pc.utf8_rtrim(whole, _ENDS)
+        plain = pc.match_substring_regex(cores, "[A-Za-z0-9]$").to_numpy(zero_copy_only=False)
+        odd = np.flatnonzero(~plain & pc.not_equal(cores, whole).to_numpy(zero_copy_only=False))
+        if len(odd):
+            exact = pa.array([_core(u) for u in whole.take(pa.array(odd)).to_pylist()], pa.string())
+            cores = pc.replace_with_mask(cores, pa.array(np.isin(np.arange(len(cores)), odd)), exact)
+        # What is left of a unit after its core.
+        cut = pc.binary_length(whole).to_numpy() - pc.binary_length(cores).to_numpy()
+        ends = np.full(len(cores), "", object)
+        tails = np.flatnonzero(cut)
+        ends[tails] = [
+            u[-n:] for u, n in zip(whole.take(pa.array(tails)).to_pylist(), cut[tails].tolist(), strict=True)
+        ]
+        coded = pa.concat_arrays([cores, pa.array(ends, pa.string())]).dictionary_encode()
+        parts = coded.dictionary
+        found = pc.index_in(parts, value_set=self.names)
+        place = found.fill_null(-1).to_numpy().astype(np.int64)
+        unknown = parts.filter(pc.is_null(found))
+        fresh = place < 0
+        place[fresh] = len(self.names) + np.arange(len(unknown))
+        if len(unknown):
+            self._add(unknown, *self.coder.parts(unknown))
+        both = place[coded.indices.to_numpy()].reshape(2, -1)
+        # A unit that is a part by itself has its place already.
+        same = pc.and_(pc.equal(cores, units), pc.equal(whole, units)).to_numpy(zero_copy_only=False)
+        at, made = both[0].copy(), np.flatnonzero(~same)
+        both = both[:, made].T.reshape(-1)
+        at[made] = len(self.names) + np.arange(len(made))
+        self._add(
+            units.take(pa.array(made)), take_runs(self.flat, self.starts[both], self.lengths[both]),
+            self.lengths[both].reshape(-1, 2).sum(axis=1),
+        )
+        return at
+
+    def _forget(self):
+        """Down to half of the limit, if it is passed: very long words first, then by last use."""
+        name_bytes = pc.binary_length(self.names).to_numpy()
+        size = name_bytes + 4 * self.lengths + 25
+        if size.sum() <= self.limit:
+            return
+        order = np.lexsort((-self.used, name_bytes > _LONG_WORD))
+        order = order[np.cumsum(size[order]) <= self.limit // 2]
+        order.sort()
+        self._keep(
+            self.names.take(pa.array(order)), take_runs(self.flat, self.starts[order], self.lengths[order]),
+            self.lengths[order], self.hard[order], self.used[order],
+        )
 
     def _slice(self, texts):
-        lines = pc.split_pattern(texts, "\n")
+        self.slice_no += 1
+        odd = self._special(texts)
+        lines = pc.split_pattern(pc.if_else(pa.array(odd), "", texts) if odd.any() else texts, "\n")
         words = pc.split_pattern(lines.flatten(), " ")
         line_at, word_at = lines.offsets.to_numpy(), words.offsets.to_numpy()
         coded = words.flatten().dictionary_encode()
-        code = coded.indices.to_numpy().astype(np.int64)
-        text_at = word_at[line_at].astype(np.int64)
+        code = coded.indices.to_numpy()
+        text_at = word_at[line_at]
+        units = coded.dictionary
         if self.spaced:
-            kind = np.full(len(code), _SPACED)
-            kind[word_at[:-1]] = _LINE
-            kind[text_at[:-1]] = _FIRST
-            code = code * 3 + kind
-        flags = np.zeros(len(coded.dictionary) * 3, bool)
-        flags[code] = True
-        used = np.flatnonzero(flags)
-        place = np.zeros(len(flags), np.int64)
-        place[used] = np.arange(len(used))
-        unit = place[code]
-        names = coded.dictionary.to_pylist()
-        if self.spaced:
-            hard = np.fromiter((n != n.strip() or not n for n in names), bool, len(names))[used // 3]
-            units = [_PREFIXES[c % 3] + names[c // 3] for c in used.tolist()]
-        else:
-            hard = np.zeros(len(used), bool)
-            units = [names[c] for c in used.tolist()]
-        blobs = self._encode_units(units)
-        flat = np.frombuffer(b"".join(blobs), np.uint32)
-        lengths = np.fromiter(map(len, blobs), np.int64, len(blobs)) >> 2
-        starts = np.cumsum(lengths) - lengths
-        word_lengths = lengths[unit]
-        ids = take_runs(flat, starts[unit], word_lengths)
+            size = len(units)
+            kind = np.full(len(code), size * _SPACED, np.int32)
+            kind[word_at[:-1]] = size * _LINE
+            kind[text_at[:-1]] = size * _FIRST
+            code = code + kind
+            flags = np.zeros(size * 3, bool)
+            flags[code] = True
+            used = np.flatnonzero(flags)
+            place = np.zeros(size * 3, np.int32)
+            place[used] = np.arange(len(used), dtype=np.int32)
+            code = place[code]
+            prefix = pa.array(_PREFIXES).take(pa.array(used // size))
+            units = pc.binary_join_element_wise(prefix, units.take(pa.array(used % size)), "")
+        at = self._places(units)
+        self.used[at] = self.slice_no
+        unit = at[code]
+        word_lengths = self.lengths[unit]
+        ids = take_runs(self.flat, self.starts[unit], word_lengths)
         at = np.concatenate([[0], np.cumsum(word_lengths)])[text_at]
-        odd = np.diff(np.concatenate([[0], np.cumsum(hard[unit])])[text_at]) > 0
+        if self.spaced:
+            odd |= np.diff(np.concatenate([[0], np.cumsum(self.hard[unit])])[text_at]) > 0
+        self._forget()
         if not odd.any():
             return ids, np.diff(at)
-        whole = dict(zip(
-            np.flatnonzero(odd).tolist(), self.encode(texts.filter(pa.array(odd)).to_pylist()),
-            strict=True,
-        ))
-        runs = [
-            np.array(whole[i], np.uint32) if i in whole else ids[at[i]:at[i + 1]]
-            for i in range(len(texts))
-        ]
+        flat, counts = self.coder.texts(texts.filter(pa.array(odd)).to_pylist())
+        whole = dict(zip(np.flatnonzero(odd).tolist(), np.split(flat, np.cumsum(counts)[:-1]), strict=True))
+        runs = [whole[i] if i in whole else ids[at[i]:at[i + 1]] for i in range(len(texts))]
         return np.concatenate(runs), np.array([len(r) for r in runs], np.int64)
 
+    def _special(self, texts):
+        """Which texts hold a special string, or one that folding would make; they are encoded as a whole."""
+        odd = np.zeros(len(texts), bool)
+        for content in self.specials:
+            odd |= pc.match_substring(texts, content, ignore_case=self.fold is not None).to_numpy(zero_copy_only=False)
+        return odd
+
     def texts(self, texts):
         """Yield ``(start, stop, ids, counts)`` for runs of an Arrow array of texts; null is empty."""
         for start, stop in text_slices(texts):
