@@ -9,8 +9,8 @@ fit, the longest wins. Pages that no rule fits get their host's verdict by the l
 * a host whose distrust is at least `limit` of both together is blocked.
 
 A host's share of the restarts is the share of its pages that rules allow or block. Rank that reaches a
-host without edges leaves. A rank is computed in a fixed number of rounds; what is missing
-is less than damping ** rounds of the whole.
+host without edges leaves. Rounds go on until no host gets its first rank and none changes by more
+than a small part of itself, so a verdict reaches the end of a chain of any length.
 """
 
 from pyspark.sql import functions as F
@@ -23,7 +23,8 @@ RULES = (
     ("allow", "com/fr/"), ("block", "com/de/"),
 )
 DAMPING = 0.8
-ROUNDS = 16
+# The change of a rank, of itself, that ends the rounds.
+TOLERANCE = 1e-6
 LIMIT = 0.75
 _ROUNDS_A_PLAN = 4
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,26 +79,32 @@ def host_edges(pages, url="url", html="html"):
     )
 
 
-def spread_ranks(edges, restarts, damping=DAMPING, rounds=ROUNDS):
-    """``kind, host, rank`` after ``rounds`` rounds. ``edges``: kind, src, dst, share (of what src
-    passes on); ``restarts``: kind, host, share. Only hosts with a rank are kept.
+def spread_ranks(edges, restarts, damping=DAMPING, tolerance=TOLERANCE):
+    """``kind, host, rank`` at convergence. ``edges``: kind, src, dst, share (of what src passes on);
+    ``restarts``: kind, host, share. Only hosts with a rank are kept.
 
-    A round is one shuffle of a row for each task and host. Every few rounds ranks are written, so
-    a lost executor costs those at most.
+    A round is one shuffle of a row for each task and host. Every few rounds ranks are written and
+    compared with those before, so a lost executor costs those rounds at most.
     """
-    ranks = restarts.withColumnRenamed("share", "rank")
+    ranks, before = restarts.withColumnRenamed("share", "rank"), None
     again = restarts.select("kind", "host", ((1 - damping) * F.col("share")).alias("rank"))
-    for done in range(1, rounds + 1):
-        passed = edges.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank")
-        )
-        ranks = passed.union(again).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if done % _ROUNDS_A_PLAN == 0 or done == rounds:
-            ranks = settle(ranks, "host-ranks")
-    return ranks
-
-
-def host_verdicts(pages, judged, damping=DAMPING, rounds=ROUNDS, limit=LIMIT):
+    while True:
+        for _ in range(_ROUNDS_A_PLAN):
+            passed = edges.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"]).select(
+                "kind", F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank")
+            )
+            ranks = passed.union(again).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        ranks = settle(ranks, "host-ranks")
+        if before is not None:
+            moved = ranks.join(before, ["kind", "host"], "left").filter(
+                F.col("before").isNull() | (F.abs(F.col("rank") - F.col("before")) > tolerance * F.col("rank"))
+            )
+            if moved.isEmpty():
+                return ranks
+        before = ranks.withColumnRenamed("rank", "before")
+
+
+def host_verdicts(pages, judged, damping=DAMPING, tolerance=TOLERANCE, limit=LIMIT):
     """``host, trust, distrust, verdict`` of hosts that a rank reaches; all others are allowed."""
     count = lambda verdict: F.count(F.when(F.col("ruled") == verdict, 1))
     hosts = settle(
@@ -123,20 +130,20 @@ def host_verdicts(pages, judged, damping=DAMPING, rounds=ROUNDS, limit=LIMIT):
         ways.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("pages") / F.col("out")).alias("share")),
         "weighted-edges",
     )
-    ranks = spread_ranks(edges, restarts, damping, rounds)
+    ranks = spread_ranks(edges, restarts, damping, tolerance)
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
     both = ranks.groupBy("host").agg(of("trust").alias("trust"), of("distrust").alias("distrust"))
     blocked = F.col("distrust") >= limit * (F.col("trust") + F.col("distrust"))
     return both.withColumn("verdict", F.when(blocked, "block").otherwise("allow"))
 
 
-def judge_urls(pages, rules=RULES, damping=DAMPING, rounds=ROUNDS, limit=LIMIT):
+def judge_urls(pages, rules=RULES, damping=DAMPING, tolerance=TOLERANCE, limit=LIMIT):
     """``page_id, host, path, rule, verdict`` for each page, repeated rows and null ids included.
 
     Pages without a host, and hosts that no rank reaches, are allowed. A null html has no links.
     """
     judged = judged_pages(pages, rules)
-    hosts = settle(host_verdicts(pages, judged, damping, rounds, limit).select("host", "verdict"), "host-verdicts")
+    hosts = settle(host_verdicts(pages, judged, damping, tolerance, limit).select("host", "verdict"), "host-verdicts")
     return judged.join(hosts, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "verdict", F.lit("allow")).alias("verdict")
     )
