@@ -6,6 +6,10 @@ from tripflow.llm import secrets, topk, url_graph
 _W = r"[^\x20\x09-\x0D]+"
 
 
+# Rounds of the twin; the query's end when ranks stand still, which the given tables reach long before.
+_ROUNDS = 64
+
+
 def _url_graph():
     order = sorted(url_graph.RULES, key=lambda r: -len(r[1]))
     fits = []
@@ -19,7 +23,7 @@ def _url_graph():
             SELECT e.kind, e.dst AS host, {a} * r.rank * e.share AS rank FROM edges e JOIN r{i - 1} r
               ON e.kind = r.kind AND e.src = r.host
             UNION ALL SELECT kind, host, {1 - a} * rank FROM r0) GROUP BY 1, 2)"""
-        for i in range(1, url_graph.ROUNDS + 1)
+        for i in range(1, _ROUNDS + 1)
     )
     link = r"""<a\s[^>]*?href\s*=\s*["'']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"''\s>]*)"""
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -41,7 +45,7 @@ def _url_graph():
     r0 AS MATERIALIZED (SELECT kind, host, share / sum(share) OVER (PARTITION BY kind) AS rank FROM shares)
     {rounds},
     marks AS (SELECT host, coalesce(sum(rank) FILTER (kind = 'trust'), 0) AS t, coalesce(sum(rank) FILTER (kind = 'distrust'), 0) AS d
-              FROM r{url_graph.ROUNDS} GROUP BY 1)
+              FROM r{_ROUNDS} GROUP BY 1)
     SELECT page_id, j.host, path, rule, coalesce(ruled, CASE WHEN d >= {url_graph.LIMIT} * (t + d) THEN 'block' END, 'allow') AS verdict
     FROM judged j LEFT JOIN marks m ON j.host = m.host"""
 
@@ -53,11 +57,14 @@ def _secret_scan():
     ]
     for kind_no, alphabet, window, _ in secrets.CLASSES:
         kinds.append((kind_no, f"[{alphabet.replace('-', '')}{'-' if '-' in alphabet else ''}]{{{window},}}"))
+    bare = "coalesce(text, '')"
+    for piece in secrets.ALLOWED_PIECES:
+        bare = f"regexp_replace({bare}, '{piece}', '{' ' * len(piece)}', 'gi')"
     found = " UNION ALL ".join(
         f"""SELECT doc_id, {k} AS kind_no, unnest(regexp_extract_all(whole, '{p.replace("'", "''")}')) AS hit,
             unnest(list_transform(generate_series(1, len(regexp_extract_all(whole, '{p.replace("'", "''")}'))), lambda i: i)) AS i,
             string_split_regex(whole, '{p.replace("'", "''")}') AS gaps,
-            regexp_extract_all(whole, '{p.replace("'", "''")}') AS hits FROM texts"""
+            regexp_extract_all(whole, '{p.replace("'", "''")}') AS hits FROM (SELECT doc_id, {'whole' if k < 3 else 'bare'} AS whole FROM texts)"""
         for k, p in kinds
     )
     value = f"regexp_extract(hit, '^{secrets._ASSIGN}{secrets._VALUE}$'".replace("[\"']", "[\"'']") + ", 1)"
@@ -66,13 +73,13 @@ def _secret_scan():
         for k, _, w, b in secrets.CLASSES
     )
     allowed = " OR ".join(
-        f"regexp_matches(hit, '{p.replace('(?i)', '')}'{', ' + chr(39) + 'i' + chr(39) if '(?i)' in p else ''})"
+        f"regexp_matches(hit, '{p}')"
         for p in secrets.ALLOWED
     )
     names = list(secrets.KINDS)
     text = "string_agg({names}[kind_no + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind_no, e)".replace("{names}", str(names))
     return f"""
-    WITH texts AS (SELECT doc_id, coalesce(text, '') AS whole FROM documents),
+    WITH texts AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS whole, {bare} AS bare FROM documents),
     found AS ({found}),
     placed AS (SELECT doc_id, kind_no, hit, CAST(coalesce(list_sum(list_transform(gaps[1:i], lambda g: length(g))), 0)
                + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS BIGINT) AS s FROM found),
@@ -88,8 +95,8 @@ def _secret_scan():
     grouped AS (SELECT *, sum(head) OVER (PARTITION BY run ORDER BY s) AS g FROM fresh),
     entropy AS (SELECT doc_id, kind_no, min(s) AS s, max(s + w) AS e FROM grouped GROUP BY doc_id, kind_no, run, g),
     added AS (SELECT * FROM entropy n
-              WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = n.doc_id AND b.s < n.e AND n.s < b.e)
-                AND NOT EXISTS (SELECT 1 FROM entropy o WHERE o.doc_id = n.doc_id AND o.kind_no < n.kind_no AND o.s < n.e AND n.s < o.e)),
+              WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = n.doc_id AND b.s <= n.s AND n.e <= b.e)
+                AND NOT EXISTS (SELECT 1 FROM entropy o WHERE o.doc_id = n.doc_id AND o.kind_no < n.kind_no AND o.s <= n.s AND n.e <= o.e)),
     told AS (SELECT doc_id, count(*) FILTER (kind_no = 0) AS n_assign, count(*) FILTER (kind_no = 1) AS n_access,
                count(*) FILTER (kind_no = 2) AS n_hex, {text} AS spans FROM base GROUP BY 1),
     told_all AS (SELECT doc_id, {text} AS spans FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY 1)

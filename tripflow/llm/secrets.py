@@ -3,7 +3,8 @@
 Spans are ``{start, kind_no, end}`` in code points, ``end`` exclusive. Fixed patterns come first;
 the entropy scan adds spans that reach beyond each of theirs; spans may overlap.
 
-Entropy scan: runs of a class's characters, at least a window long, that no allow pattern covers.
+Entropy scan: runs of a class's characters, at least a window long. Allowed pieces end a run, so
+only windows that overlap one are suppressed; a run that an allow pattern covers has no windows.
 A window slides over each run; entering and leaving characters change the counts by one, and with
 them the sum of ``c * log2(c)``, which is all that a window's Shannon entropy depends on. It is kept in
 whole numbers, so the result does not depend on the order of steps. Windows at or above the class's
@@ -28,12 +29,13 @@ VALUE_CHARS = 12
 HEX_ALPHABET = "0123456789ABCDEFabcdef"
 BASE64_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 CLASSES = ((3, HEX_ALPHABET, 20, 3.0), (4, BASE64_ALPHABET, 24, 3.9))
-# Runs that are no secrets: one kind of character only, UUIDs, spelt-out alphabets, stated examples.
+# Whole runs that are no secrets: one kind of character only, UUIDs.
 ALLOWED = (
     "^[A-Za-z]+$", "^[0-9]+$", "^[+/_-]+$",
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    "(?i)0123456789|abcdefghij|example|placeholder|changeme",
 )
+# Pieces of a run, in either case, that belong to no secret: spelt-out alphabets, stated examples.
+ALLOWED_PIECES = ("0123456789", "abcdefghij", "example", "placeholder", "changeme")
 _UNIT = 1 << 20
 MASK = "[SECRET]"
 
@@ -161,9 +163,17 @@ def _entropy_of_run(kind_no, alphabet, window, bits):
     return spans
 
 
+def without_allowed(text):
+    """The text with blanks, as many, in the place of each allowed piece."""
+    bare = text
+    for piece in ALLOWED_PIECES:
+        bare = F.regexp_replace(bare, f"(?i){piece}", " " * len(piece))
+    return F.when(F.rlike(text, F.lit("(?i)" + "|".join(ALLOWED_PIECES))), bare).otherwise(text)
+
+
 def entropy_spans(text):
     """Spans of the entropy scan, of all classes."""
-    parts = []
+    parts, text = [], without_allowed(text)
     for kind_no, alphabet, window, bits in CLASSES:
         symbols = f"[{alphabet.replace('-', '')}{'-' if '-' in alphabet else ''}]"
         pattern = f"(?<!{symbols}){symbols}{{{window},}}"
@@ -228,12 +238,16 @@ def redact(docs, text="text"):
         ).otherwise(F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))))
 
     cuts = F.aggregate("_spans", F.array().cast("array<struct<start:int,end:int>>"), join)
-    marked = scan(docs, text).withColumn("_cuts", cuts)
+    # The row goes along as one column, so no name of its own is in the way.
+    packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    marked = scan(packed).withColumn("_cuts", cuts)
     before = lambda i: F.when(i > 0, F.get(F.col("_cuts"), i - 1)["end"]).otherwise(0)
     pieces = F.transform(
         "_cuts",
-        lambda c, i: F.concat(F.substring(F.col(text), before(i) + 1, c["start"] - before(i)), F.lit(MASK)),
+        lambda c, i: F.concat(F.substring(F.col("text"), before(i) + 1, c["start"] - before(i)), F.lit(MASK)),
+    )
+    rest = F.substring(F.col("text"), F.element_at("_cuts", -1)["end"] + 1, F.char_length("text"))
+    clean = F.when(F.size("_cuts") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col("text"))
+    return marked.select("row", clean.alias("text")).select(
+        *(F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns)
     )
-    rest = F.substring(F.col(text), F.element_at("_cuts", -1)["end"] + 1, F.char_length(text))
-    clean = F.when(F.size("_cuts") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col(text))
-    return marked.withColumn(text, clean).drop("_base", "_spans", "_cuts")
