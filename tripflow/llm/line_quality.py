@@ -255,12 +255,13 @@ def quality_report(docs):
 
 
 def clean(docs, host="source", text="text"):
-    """The documents that are kept, without their boilerplate lines; the columns of ``docs``."""
+    """The documents that are kept, without their boilerplate lines; the columns of ``docs``, whatever
+    their names: a row goes along as one column."""
     left = F.filter(
-        F.split(F.col(text), "\n"), lambda line: ~F.array_contains("removed", line_hash(line))
+        F.split(F.col("text"), "\n"), lambda line: ~F.array_contains("removed", line_hash(line))
     )
-    return (
-        judge(docs, host, text).filter("kept")
-        .withColumn(text, F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
-        .select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("row"), F.col(host).alias("source"), F.col(text).alias("text"))
+    clean_text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    return judge(packed).filter("kept").select("row", clean_text.alias("text")).select(
+        *(F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns)
     )
