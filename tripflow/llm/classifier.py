@@ -19,6 +19,8 @@ from tripflow.llm.words import text_slices
 
 #: At most so many labelled documents are fitted on; they are chosen by a hash of the id.
 SAMPLE_ROWS = 4_000
+SAMPLE_BYTES = 64_000_000
+SAMPLE_TEXT_BYTES = 1_000_000
 CUT = 0.3
 GRAMS = (2, 3)
 # Bytes of text worked on at a time; a word has several features of eight bytes each.
@@ -149,13 +151,28 @@ def train(texts, labels, settings=Settings()):
 
 def labelled_sample(docs, labels, rows=SAMPLE_ROWS, doc_id="doc_id", text="text", label="quality"):
     """``text, label`` of at most ``rows`` labelled documents outside the held-out fold, the same for
-    the same tables; null labels and texts take no part."""
+    the same tables. Null labels and texts take no part, nor do texts beyond ``SAMPLE_TEXT_BYTES``; the
+    sample ends before ``SAMPLE_BYTES``. The bounds hold for documents, however often an id occurs.
+    """
     mark = labels.filter(F.col(label).isin(0, 1) & ~held_out(doc_id)).select(
         F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("label")
     )
-    chosen = mark.distinct().orderBy(F.xxhash64(F.lit("sample"), "_id"), "_id", "label").limit(rows)
-    found = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).filter("text is not null")
-    return found.join(chosen, "_id").toArrow().sort_by([("_id", "ascending"), ("label", "ascending"), ("text", "ascending")])
+    found = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).filter(
+        F.octet_length("text") <= SAMPLE_TEXT_BYTES
+    )
+    order = ["_hash", "_id", "label", "_text"]
+    joined = found.join(mark.distinct(), "_id").withColumns(
+        {"_hash": F.xxhash64(F.lit("sample"), "_id"), "_text": F.xxhash64("text")}
+    )
+    # Narrow rows first, at most ``rows`` of them; then the texts up to the last that fits.
+    first = joined.select(*order, F.octet_length("text").alias("bytes")).orderBy(*order).limit(rows).collect()
+    sizes = np.cumsum([r["bytes"] for r in first])
+    n = int(np.searchsorted(sizes, SAMPLE_BYTES, "right"))
+    chosen = joined.filter(F.lit(False))
+    if n:
+        chosen = joined.filter(F.col("_hash") <= first[n - 1]["_hash"]).orderBy(*order).limit(n)
+    sample = chosen.select("_id", "label", "text").toArrow()
+    return sample.sort_by([("_id", "ascending"), ("label", "ascending"), ("text", "ascending")])
 
 
 def held_out(doc_id="doc_id"):
