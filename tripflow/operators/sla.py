@@ -4,9 +4,11 @@ Files: ``schemas.STAGED_FILE``; agreements: ``schemas.AGREEMENT``, whose ``id``
 Both are metadata; their sizes are known to Spark, which picks the join.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.units import per_second, to_mb
+from tripflow.session import settle
 
 
 def with_agreement(files, agreements):
@@ -58,9 +60,11 @@ def quota_batches(files, agreements):
     """Ingest interval of each accepted file of the admitted tenants.
 
     In file order a tenant goes on until the bytes of the interval reach the quota; the
-    file that crosses it is still taken. This is a recurrence, so it is folded over the
-    ordered files of one tenant; ``maxNumFiles`` bounds that list, as a tenant with more
-    files is not admitted.
+    file that crosses it is still taken. So the file after an interval that starts at ``f`` is the
+    first one whose bytes before it reach those before ``f`` plus the quota: a jump known from
+    prefix sums alone. The files that start an interval are those that jumps reach from a tenant's
+    first; they are found by doubling the jumps, and their number among them is the interval's.
+    No list of a tenant's files is built.
     """
     admitted = admission(files, agreements).filter("decision = 'admitted'").select("tenant")
     accepted = (
@@ -69,35 +73,71 @@ def quota_batches(files, agreements):
         .select("tenant", "file", "bytes")
         .join(admitted, "tenant", "left_semi")
     )
-    quota = F.col("maxIngestionIntervalSize") * 1_000_000
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("used"),
-        F.lit(0).alias("interval_no"),
-        F.array().cast("array<struct<file:string,bytes:bigint,interval_no:int>>").alias("done"),
+    # A file's number and the bytes before it. A tenant with more than ``maxNumFiles`` is not admitted.
+    in_order = Window.partitionBy("tenant").orderBy("file", "bytes")
+    numbered = settle(
+        accepted.select(
+            "tenant", "file", "bytes", (F.row_number().over(in_order) - 1).alias("no"),
+            (F.sum("bytes").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("bytes")).alias("before"),
+        ),
+        "numbered-files",
+    )
+    # Without a quota all files are one interval.
+    quota = agreements.select(
+        F.col("id").alias("tenant"), F.ceil(F.col("maxIngestionIntervalSize") * 1_000_000).alias("_quota")
+    ).filter("_quota IS NOT NULL")
+    jumps = settle(_jumps(numbered, quota), "interval-jumps")
+    starts = settle(_reached(jumps), "interval-starts")
+    opened = numbered.join(starts, ["tenant", "no"], "left")
+    last_start = F.max("interval_no").over(Window.partitionBy("tenant").orderBy("no"))
+    # A tenant without a jump has one interval.
+    return opened.select("tenant", "file", "bytes", F.coalesce(last_start, F.lit(0)).alias("interval_no"))
+
+
+def _jumps(numbered, quota):
+    """``tenant, no, next``: the file that starts the next interval, if one starts at ``no``.
+
+    A file and the quota mark of each file are points on the line of a tenant's bytes; the next file
+    at or after a mark is a running minimum from above. A mark comes before the files at its place,
+    and files of no bytes follow the file that they stand behind.
+    """
+    files = numbered.select("tenant", F.col("before").alias("place"), F.lit(1).alias("kind"), "no")
+    marks = numbered.join(quota, "tenant").select(
+        "tenant", (F.col("before") + F.col("_quota")).alias("place"), F.lit(0).alias("kind"), "no"
+    )
+    from_above = Window.partitionBy("tenant").orderBy(F.desc("place"), F.desc("kind"), F.desc("no"))
+    reach = F.min(F.when(F.col("kind") == 1, F.col("no"))).over(
+        from_above.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    # At least one file is taken; a quota of nothing takes one file an interval.
+    return (
+        files.unionAll(marks).withColumn("_next", reach).filter("kind = 0 AND _next IS NOT NULL")
+        .select("tenant", "no", F.greatest("_next", F.col("no") + 1).alias("next"))
     )
 
-    def take(state, item):
-        full = state["used"] >= quota
-        interval = state["interval_no"] + F.when(full, 1).otherwise(0)
-        return F.struct(
-            (F.when(full, 0).otherwise(state["used"]) + item["bytes"]).alias("used"),
-            interval.alias("interval_no"),
-            F.array_append(
-                state["done"],
-                F.struct(
-                    item["file"].alias("file"),
-                    item["bytes"].alias("bytes"),
-                    interval.alias("interval_no"),
-                ),
-            ).alias("done"),
-        )
 
-    return (
-        accepted.groupBy("tenant")
-        .agg(F.array_sort(F.collect_list(F.struct("file", "bytes"))).alias("files"))
-        .join(agreements.withColumnRenamed("id", "tenant"), "tenant")
-        .select("tenant", F.inline(F.aggregate("files", start, take)["done"]))
+def _reached(jumps):
+    """``tenant, no, interval_no`` of the files that jumps reach from a tenant's first.
+
+    Round k knows the first 2**k starts and the jumps over 2**k intervals; a round takes both
+    twice as far.
+    """
+    known = jumps.select("tenant").distinct().select(
+        "tenant", F.lit(0).alias("no"), F.lit(0).alias("interval_no")
     )
+    step = 1
+    while True:
+        more = known.join(jumps, ["tenant", "no"]).select(
+            "tenant", F.col("next").alias("no"), (F.col("interval_no") + step).alias("interval_no")
+        )
+        if more.isEmpty():
+            return known
+        known = settle(known.unionAll(more), "interval-starts")
+        onward = jumps.select("tenant", F.col("no").alias("next"), F.col("next").alias("_next"))
+        jumps = settle(
+            jumps.join(onward, ["tenant", "next"]).select("tenant", "no", F.col("_next").alias("next")), "interval-jumps"
+        )
+        step *= 2
 
 
 def batch_run_stats(file_runs):

@@ -64,48 +64,55 @@ def drop_repeats(df, unique, time_col, within):
     return df.withWatermark(time_col, within).dropDuplicatesWithinWatermark(unique)
 
 
-# Type names of a registry. Any scalar can be read as a text, so ``string`` takes them all.
-_JSON_TYPES = {"integer": "BIGINT", "number": "DOUBLE", "boolean": "BOOLEAN", "string": "STRING"}
+# The types of a parsed JSON value that each registered type takes. Any scalar can be read as a text,
+# so ``string`` takes them all.
+_JSON_TYPES = {
+    "integer": "^BIGINT$", "number": "^(BIGINT|DOUBLE|DECIMAL.*)$", "boolean": "^BOOLEAN$", "string": "^(?!OBJECT|ARRAY)",
+}
+
+
+def newest_schemas(registry):
+    """``tenant, schema_version, fields`` of each tenant's newest version; a field is its name, the
+    pattern of its values, and whether it is required. A row per tenant, made by one aggregation."""
+    pattern = F.element_at(F.create_map(*[F.lit(x) for pair in _JSON_TYPES.items() for x in pair]), F.col("type"))
+    field = F.struct(
+        F.col("field").alias("name"), pattern.alias("pattern"), F.coalesce("required", F.lit(False)).alias("required")
+    )
+    newest = registry.groupBy("tenant").agg(F.max("version").alias("version"))
+    return (
+        registry.join(newest, ["tenant", "version"]).groupBy("tenant", F.col("version").alias("schema_version"))
+        .agg(F.array_sort(F.collect_list(field)).alias("_schema"))
+    )
 
 
 def validate_schema(messages, registry, value="value"):
     """Check messages against the newest registered schema of their tenant.
 
-    ``registry``: tenant, version, field, type, required. Its newest versions are fetched
-    when the query is built; they are the schemas the messages are parsed with. Adds
-    ``schema_version`` and ``mismatches``, one text per missing or wrongly typed field (a
-    message that is no object has the one text ``not an object``). Messages of tenants
-    without a schema are left out.
+    ``registry``: tenant, version, field, type, required. Schemas are data: each message is parsed once
+    into its fields and joined with its tenant's schema, so the plan is the same for any number of
+    tenants and fields, and nothing goes to the driver. Adds ``schema_version`` and ``mismatches``, one
+    text per missing or wrongly typed field (a message that is no object has the one text ``not an
+    object``). Messages of tenants without a schema are left out.
     """
-    newest = registry.groupBy("tenant").agg(F.max("version").alias("version"))
-    schemas: dict[tuple, list] = {}
-    for row in registry.join(newest, ["tenant", "version"]).orderBy("tenant", "field").collect():
-        schemas.setdefault((row.tenant, row.version), []).append(row)
-
-    texts = F.from_json(value, "MAP<STRING, STRING>")
-    version = F.lit(None).cast("int")
-    mismatches = F.lit(None).cast("array<string>")
-    for (tenant, number), fields in schemas.items():
-        ddl = ", ".join(f"`{f.field}` {_JSON_TYPES[f.type]}" for f in fields)
-        typed = F.from_json(value, ddl)
-        faults = []
-        for f in fields:
-            fault = F.when(
-                F.col("_texts")[f.field].isNotNull() & typed[f.field].isNull(), f"type {f.field}"
-            )
-            if f.required:
-                fault = fault.when(F.col("_texts")[f.field].isNull(), f"missing {f.field}")
-            faults.append(fault)
-        is_tenant = F.col("tenant") == tenant
-        version = F.when(is_tenant, number).otherwise(version)
-        mismatches = F.when(is_tenant, F.array_compact(F.array(*faults))).otherwise(mismatches)
-    no_object = F.array(F.lit("not an object"))
+    schemas = settle(newest_schemas(registry), "schemas")
+    # Through a generator: the parse is bound once, however often its fields are looked at.
+    types = F.transform_values(
+        F.from_json(value, "MAP<STRING, VARIANT>"), lambda _, v: F.nullif(F.schema_of_variant(v), F.lit("VOID"))
+    )
+    parsed = messages.select("*", F.explode(F.array(types)).alias("_types"))
+
+    def fault(field):
+        kind = F.col("_types")[field["name"]]
+        return F.when(kind.isNull(), F.when(field["required"], F.concat(F.lit("missing "), field["name"]))).when(
+            ~F.rlike(kind, field["pattern"]), F.concat(F.lit("type "), field["name"])
+        )
+
+    mismatches = F.when(F.col("_types").isNull(), F.array(F.lit("not an object"))).otherwise(
+        F.array_compact(F.transform("_schema", fault))
+    )
     return (
-        messages.withColumn("_texts", texts)
-        .withColumn("schema_version", version)
-        .filter("schema_version IS NOT NULL")
-        .withColumn("mismatches", F.when(F.col("_texts").isNull(), no_object).otherwise(mismatches))
-        .drop("_texts")
+        parsed.join(schemas, "tenant").withColumn("mismatches", mismatches)
+        .select(*messages.columns, "schema_version", "mismatches")
     )
 
 
