@@ -163,6 +163,21 @@ def test_evolve_columns(spark):
     assert evolve_columns(None, messages(spark, ['{"K":1}'])).collect()[0].k == "1"
 
 
+def test_more_keys_than_columns(spark, monkeypatch):
+    """10,000 keys: the frequent ones are columns, no value of the others is lost, known columns stay."""
+    texts = [f'{{"Trip ID":"t{i}","Odd Key":{i},"Key {i}":"v{i}","more_fields":{i % 3}}}' for i in range(10_000)]
+    first = evolve_columns(None, messages(spark, texts))
+    assert len(first.columns) == 501 and {"trip_id", "odd_key", "more_fields"} <= set(first.columns)
+    named = F.size(F.array_compact(F.array(*(F.col(c) for c in first.columns if c.startswith("key_")))))
+    kept = first.select(F.coalesce(F.size("more_fields"), F.lit(0)).alias("rest"), named.alias("named"))
+    assert kept.filter("rest + named = 2").count() == 10_000 and kept.agg(F.sum("named")).first()[0] == 498
+    old = spark.createDataFrame([("r", "k", {"a": "b"})], "trip_id STRING, key_77 STRING, more_fields MAP<STRING, STRING>")
+    second = evolve_columns(old, messages(spark, texts[:1000]))
+    rows = {r.trip_id: r for r in second.filter("trip_id IN ('r', 't77', 't999')").collect()}
+    assert rows["t77"].key_77 == "v77" and rows["r"].more_fields == {"a": "b"}
+    assert rows["t999"].more_fields["more_fields"] == "0" and "Key 77" not in rows["t77"].more_fields
+
+
 def brute_late(rows, size, wait):
     """Late flags by going through the rows in arrival order (all times in ms)."""
     seen, late = None, set()

@@ -289,6 +289,20 @@ def dynamic_ingest(spark, sf_dir):
     return summary.drop("seconds", "inserted_per_second")
 
 
+@query(
+    "dynamic_ingest_table",
+    ORACLES["evolve_columns"].replace(",\n      'none' AS old_column", "").split("UNION ALL")[0]
+    + """ AND event_id % 37 <> 0 AND NOT (event_id % 47 = 0 AND event_id % 41 <> 0 AND event_id % 43 <> 0)""",
+)
+def dynamic_ingest_table(spark, sf_dir):
+    """The table that two runs store; the second meets columns of the first."""
+    path = fresh_dir(spark, "dynamic")
+    messages = trip_messages(table(spark, sf_dir, "events")).withColumn("consumer", F.col("seq") % 5)
+    for odd in (1, 0):
+        ingest_dynamic(messages.filter(F.col("seq") % 2 == odd), path, buckets=8)
+    return read_table(spark, path, evolving=True).drop("ingest_ts", "seq").fillna("none")
+
+
 @query("table_upsert", ORACLES["upsert_latest"])
 def table_upsert(spark, sf_dir):
     path = fresh_dir(spark, "keyed")

@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 from tripflow.functions.times import parse_us_12h
 from tripflow.schemas import CHICAGO_UNUSED, MONEY
 
+# Message keys that become columns of a dynamic table, at most; the others stay in this map column.
+MOST_COLUMNS = 500
+OVERFLOW = "more_fields"
+
 
 def drop_unused(df, columns=CHICAGO_UNUSED):
     """Drop the columns no table keeps; absent ones are ignored."""
@@ -111,17 +115,27 @@ def fill_total(c):
     )
 
 
-def message_columns(messages, value="value", unused=CHICAGO_UNUSED):
-    """Column name -> message keys, for all keys that occur in the messages.
+def message_columns(messages, value="value", unused=CHICAGO_UNUSED, known=(), most=MOST_COLUMNS):
+    """``(columns, beyond)``: column name -> message keys, and whether there are keys besides.
 
-    One row per distinct key reaches the driver: they become the schema of the table.
+    A key of one of the ``known`` columns has that column. Of the others the most frequent have
+    columns, so that no more than ``most`` keys reach the driver and the schema; all further ones
+    stay in the map column ``OVERFLOW``.
     """
     fields = F.from_json(value, "MAP<STRING, STRING>")
-    keys = messages.select(F.explode(F.map_keys(fields)).alias("key")).distinct()
+    name = F.lower(F.regexp_replace("key", " +", "_"))
+    keys = (
+        messages.select(F.explode(F.map_keys(fields)).alias("key"))
+        .filter(~F.col("key").isin(unused) & (name != OVERFLOW))
+        .groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc(name.isin(list(known))), F.desc("n"), "key")
+        .limit(most + 1)
+        .collect()
+    )
     columns: dict[str, list[str]] = {}
-    for row in keys.filter(~F.col("key").isin(unused)).orderBy("key").collect():
-        columns.setdefault(snake_name(row.key), []).append(row.key)
-    return columns
+    for key in sorted(row.key for row in keys[:most]):
+        columns.setdefault(snake_name(key), []).append(key)
+    return columns, len(keys) > most or OVERFLOW in known
 
 
 def with_message_fields(messages, value="value"):
@@ -130,9 +144,12 @@ def with_message_fields(messages, value="value"):
     return messages.select("*", F.explode(F.array(fields)).alias("_fields"))
 
 
-def message_texts(columns):
-    """The columns found by ``message_columns``, taken from ``_fields``."""
-    return [
+def message_texts(columns, beyond=False, unused=CHICAGO_UNUSED):
+    """The columns found by ``message_columns``, taken from ``_fields``; with ``beyond`` all other keys
+    in one map column."""
+    named = [key for keys in columns.values() for key in keys]
+    rest = F.map_filter("_fields", lambda key, _: ~key.isin([*named, *unused]))
+    return [F.when(F.size(rest) > 0, rest).alias(OVERFLOW)] * beyond + [
         # JSON NaN comes out of the map as the quoted text.
         F.nullif(F.coalesce(*[F.col("_fields")[key] for key in keys]), F.lit('"NaN"')).alias(name)
         for name, keys in columns.items()
@@ -140,19 +157,20 @@ def message_texts(columns):
 
 
 def evolve_columns(df, messages, value="value"):
-    """Append messages to a table; message keys the table lacks become new text columns.
+    """Append messages to a table; message keys the table lacks become new text columns, the
+    most frequent ones, and the others stay in a map (``message_columns``).
 
     ``df`` may be None for a table that does not exist yet. Batch only.
     """
-    columns = message_columns(messages, value)
+    known = {f.name: f.dataType for f in df.schema.fields} if df is not None else {}
+    columns, beyond = message_columns(messages, value, known=known)
     rows = (
         with_message_fields(messages, value)
         .filter("_fields IS NOT NULL")
-        .select(*message_texts(columns))
+        .select(*message_texts(columns, beyond))
     )
     if df is None:
         return rows
-    known = {f.name: f.dataType for f in df.schema.fields}
     rows = rows.select(
         *[F.col(c).try_cast(known[c]).alias(c) if c in known else F.col(c) for c in rows.columns]
     )
