@@ -18,8 +18,10 @@ from tripflow.operators.trips import drop_repeats
 from tripflow.operators.upsert import latest_per_key, read_table
 from tripflow.operators.windows import quality_ratios, silver, silver_export, window_quality
 from tripflow.plans.analytics import FEED_TOPIC, gold_batch, silver_analytics
-from tripflow.plans.batch_ingest import ingest_staged
+from tripflow.operators.sla import batch_run_stats
+from tripflow.plans.batch_ingest import clean_chicago, ingest_staged
 from tripflow.plans.dynamic_ingest import ingest_dynamic
+from tripflow.plans.registry import register_pipeline
 from tripflow.plans.stream_ingest import (
     chicago_rows,
     chicago_stream_ingest,
@@ -384,6 +386,28 @@ def test_staged_ingest_keeps_odd_names_and_headers(spark, tmp_path):
         ("nobody", "a.csv"): "no_agreement", ("two words+", "odd.csv"): "unknown_header"}
 
 
+def test_staged_elsewhere_and_run_totals(spark, tmp_path):
+    """Folders that agreements name, a transform of one location, and totals from what the run returns."""
+    names = T.StructType.fromDDL(CHICAGO_RAW).names
+    places = {"a": tmp_path / "staging" / "a", "b": tmp_path / "elsewhere" / "drop box", "c": tmp_path / "staging" / "other"}
+    for tenant, folder in places.items():
+        folder.mkdir(parents=True)
+        for n in range(2):
+            row = ",".join({"Trip ID": f"{tenant}{n}", "Pickup Community Area": "8"}.get(c, "") for c in names)
+            (folder / f"f{n}.csv").write_text(",".join(names) + "\n" + row + "\n")
+    here = f"file://{tmp_path}/elsewhere/drop box"
+    terms = [(t, "clean_chicago", where, f"{t}_space", "trips", {"csv": True}, 1.0, 50, 10, 10.0, 10)
+             for t, where in (("a", "/a"), ("b", here), ("c", "other"))]
+    register_pipeline("clean_chicago", lambda df: clean_chicago(df).withColumn("company", F.lit("own")), "b", here)
+    table = str(tmp_path / "table")
+    decisions = ingest_staged(spark, str(tmp_path / "staging"), spark.createDataFrame(terms, AGREEMENT), table, 7, None, 2, True)
+    rows = {(r.keyspace, r.trip_id, r.company) for r in read_table(spark, table).collect()}
+    assert rows == {(f"{t}_space", f"{t}{n}", "own" if t == "b" else None) for t in "abc" for n in range(2)}
+    totals = batch_run_stats(decisions.filter("seconds IS NOT NULL")).collect()
+    assert sorted((r.tenant, r.run, r.files) for r in totals) == [("a", 7, 2), ("b", 7, 2), ("c", 7, 2)]
+    assert all(r.seconds > 0 and r.mb > 0 for r in totals) and not list(tmp_path.glob("*/*/[!.]*.csv"))
+
+
 def test_dynamic_ingest_takes_new_columns(spark, tmp_path):
     schema = "value STRING, consumer STRING, ingest_ts TIMESTAMP, seq BIGINT"
 

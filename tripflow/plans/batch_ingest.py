@@ -1,5 +1,8 @@
 """Batch ingest: staged files -> agreement checks -> clean rows -> keyed tables."""
 
+import time
+
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,12 +21,14 @@ from tripflow.session import settle
 from tripflow.sources.files import (
     exact_paths,
     file_path,
+    folder_tenant,
     header_lines,
     in_header_order,
     list_staged,
     read_staged,
+    staging_folder,
 )
-from tripflow.streaming.files import delete_files
+from tripflow.streaming.files import delete_files, exists
 
 # Staged times are US 12-hour texts, so all columns of a CSV row are read as declared texts
 # or numbers; these columns say where a row came from and which of two rows is newer.
@@ -38,12 +43,25 @@ def clean_chicago(df):
 register_pipeline("clean_chicago", clean_chicago)
 
 
-def staging_decisions(spark, staging_dir, agreements):
+def tenant_folders(spark, staging_dir, agreements):
+    """``{folder: tenant}`` of the agreements whose ``fileStorageLocation`` is not the tenant's own name
+    below the staging folder, and exists. A name per such tenant reaches the driver."""
+    own = F.concat(F.lit("/"), F.col("id"))
+    rows = agreements.filter(F.col("fileStorageLocation").isNotNull() & (F.col("fileStorageLocation") != own))
+    folders = {
+        staging_folder(staging_dir, r.fileStorageLocation): r.id for r in rows.select("id", "fileStorageLocation").collect()
+    }
+    return {folder: tenant for folder, tenant in folders.items() if exists(spark, folder)}
+
+
+def staging_decisions(spark, staging_dir, agreements, folders=None):
     """Every staged file with its fate: accepted or not, why, and its ingest interval.
 
-    A tenant without agreement has its files rejected as ``no_agreement``.
+    Files lie in the folder that their tenant's agreement names. A tenant without agreement has its
+    files rejected as ``no_agreement``.
     """
-    files = list_staged(spark, staging_dir)
+    folders = tenant_folders(spark, staging_dir, agreements) if folders is None else folders
+    files = list_staged(spark, staging_dir, folders)
     unknown = files.join(agreements.select(F.col("id").alias("tenant")), "tenant", "left_anti")
     checked = file_type_check(files, agreements)
     intervals = quota_batches(files, agreements).drop("bytes")
@@ -63,13 +81,13 @@ def staging_decisions(spark, staging_dir, agreements):
     )
 
 
-def _staged_rows(spark, paths, ext, schema, run):
+def _staged_rows(spark, paths, ext, schema, run, folders):
     rows = read_staged(spark, exact_paths(paths), ext, schema)
     names = T.StructType.fromDDL(CHICAGO_RAW).names
     path = file_path()
     return rows.select(
         *[F.col(f"`{name}`") for name in names],
-        F.element_at(F.split(path, "/"), -2).alias("tenant"),
+        folder_tenant(path, folders).alias("tenant"),
         path.alias("source_path"),
         F.lit(run).alias("run"),
         F.col("_metadata.file_name").alias("source_file"),
@@ -87,11 +105,14 @@ def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None,
     CSV columns go by the names in each file's header; a file whose header has other names
     is rejected as ``unknown_header``. ``intervals`` keeps the files of those quota
     intervals; ``delete`` removes the files of which every row was handed to the table,
-    never a rejected one. Returns the decisions, among them those of the rejected files.
+    never a rejected one. Returns the decisions, among them those of the rejected files, with the
+    ``run`` and the ``seconds`` of each ingested file: its share by size of the time of its read, as
+    ``operators.sla.batch_run_stats`` sums them up. Rows are counted by the write itself.
 
     Only file names and headers reach the driver, at most ``maxNumFiles`` per tenant.
     """
-    decisions = settle(staging_decisions(spark, staging_dir, agreements), "decisions")
+    folders = tenant_folders(spark, staging_dir, agreements)
+    decisions = settle(staging_decisions(spark, staging_dir, agreements, folders), "decisions")
     taken = decisions.filter("interval_no IS NOT NULL")
     if intervals is not None:
         taken = taken.filter(F.col("interval_no").isin(list(intervals)))
@@ -100,25 +121,28 @@ def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None,
         "pipeline",
         F.col("coredmsKeyspace").alias("keyspace"),
         F.col("coredmsTable").alias("table"),
+        F.col("fileStorageLocation").alias("location"),
     )
     files = taken.join(terms, "tenant").orderBy("tenant", "file").collect()
     headers = {}
     for ext, sep in (("csv", ","), ("txt", "\t")):
         if paths := [row.path for row in files if row.ext == ext]:
             headers |= {r.path: tuple(r.header) for r in header_lines(spark, paths, sep).collect()}
-    reads: dict[tuple, list[str]] = {}
-    misfits = []
+    reads: dict[tuple, list] = {}
+    misfits, times = [], []
     for row in files:
         header = headers.get(row.path)
         if header is not None and in_header_order(CHICAGO_RAW, header) is None:
             misfits.append((row.path,))
             continue
-        transform = transform_for(row.pipeline, row.tenant, staging_dir)
-        reads.setdefault((transform, row.ext, header), []).append(row.path)
-    for (transform, ext, header), paths in reads.items():
+        transform = transform_for(row.pipeline, row.tenant, row.location)
+        reads.setdefault((transform, row.ext, header), []).append(row)
+    for (transform, ext, header), taken_files in reads.items():
         schema = in_header_order(CHICAGO_RAW, header) if header else CHICAGO_RAW
-        staged = _staged_rows(spark, paths, ext, schema, run)
-        rows = transform(staged).join(terms.drop("pipeline"), "tenant")
+        read, stored, n = Observation(), Observation(), F.count(F.lit(1)).alias("n")
+        staged = _staged_rows(spark, [f.path for f in taken_files], ext, schema, run, folders)
+        rows = transform(staged.observe(read, n)).join(terms.drop("pipeline", "location"), "tenant").observe(stored, n)
+        started = time.monotonic()
         upsert(
             rows.drop("source_path"),
             table,
@@ -127,8 +151,13 @@ def ingest_staged(spark, staging_dir, agreements, table, run=0, intervals=None,
             buckets,
             partition_cols=["keyspace", "table"],
         )
+        seconds, size = time.monotonic() - started, sum(f.bytes for f in taken_files)
+        times += [(f.path, run, seconds * f.bytes / size if size else 0.0) for f in taken_files]
         if delete:
-            delete_files(spark, _handed_over(staged, rows))
+            whole = read.get["n"] == stored.get["n"]
+            delete_files(spark, [f.path for f in taken_files] if whole else _handed_over(staged, rows))
+    timed = spark.createDataFrame(times, "path STRING, run BIGINT, seconds DOUBLE")
+    decisions = decisions.join(timed, "path", "left")
     if not misfits:
         return decisions
     odd = spark.createDataFrame(misfits, "path STRING").withColumn("_odd", F.lit(True))

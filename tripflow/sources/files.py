@@ -94,18 +94,37 @@ def read_trips_parquet(spark, path):
     return spark.read.parquet(path)
 
 
-def list_staged(spark, directory):
-    """Staged files below ``<directory>/<tenant>/``: tenant, file, bytes, ext, path.
+def staging_folder(directory, location):
+    """The folder of a ``fileStorageLocation``: one with a scheme as it is, else below ``directory``."""
+    return location.rstrip("/") if "://" in location else f"{directory.rstrip('/')}/{location.strip('/')}"
+
+
+def folder_tenant(path, folders):
+    """The tenant of a file by its folder: one of ``folders`` (folder name -> tenant), else the folder's name.
+
+    ``folders`` holds those whose name is not the tenant's, by the end of their path.
+    """
+    folder = F.regexp_replace(F.regexp_replace(path, "/[^/]*$", ""), "^[a-z0-9+.-]+:/+", "/")
+    tenant = F.element_at(F.split(path, "/"), -2)
+    for name, owner in folders.items():
+        tenant = F.when(folder == re.sub("^[a-z0-9+.-]+:/+", "/", name), owner).otherwise(tenant)
+    return tenant
+
+
+def list_staged(spark, directory, folders=None):
+    """Staged files below ``<directory>/<tenant>/`` and in the ``folders`` (folder -> tenant) elsewhere:
+    tenant, file, bytes, ext, path.
 
     Only the listing is used; no file is opened, as the content column is not selected.
     """
+    folders = folders or {}
     parts = F.split("path", "/")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(directory)
+        .load([directory, *(f for f in folders if not f.startswith(f"{directory.rstrip('/')}/"))])
         .select(
-            F.element_at(parts, -2).alias("tenant"),
+            folder_tenant(F.col("path"), folders).alias("tenant"),
             F.element_at(parts, -1).alias("file"),
             F.col("length").alias("bytes"),
             file_ext(F.element_at(parts, -1)).alias("ext"),
