@@ -157,20 +157,17 @@ def labelled_sample(docs, labels, rows=SAMPLE_ROWS, doc_id="doc_id", text="text"
     mark = labels.filter(F.col(label).isin(0, 1) & ~held_out(doc_id)).select(
         F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("label")
     )
-    found = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).filter(
-        F.octet_length("text") <= SAMPLE_TEXT_BYTES
-    )
     order = ["_hash", "_id", "label", "_text"]
-    joined = found.join(mark.distinct(), "_id").withColumns(
-        {"_hash": F.xxhash64(F.lit("sample"), "_id"), "_text": F.xxhash64("text")}
+    found = docs.filter(F.octet_length(text) <= SAMPLE_TEXT_BYTES).select(
+        F.xxhash64(F.lit("sample"), doc_id).alias("_hash"), F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_text"),
+        F.octet_length(text).alias("bytes"), F.col(text).alias("text"),
     )
     # Narrow rows first, at most ``rows`` of them; then the texts up to the last that fits.
-    first = joined.select(*order, F.octet_length("text").alias("bytes")).orderBy(*order).limit(rows).collect()
-    sizes = np.cumsum([r["bytes"] for r in first])
-    n = int(np.searchsorted(sizes, SAMPLE_BYTES, "right"))
-    chosen = joined.filter(F.lit(False))
-    if n:
-        chosen = joined.filter(F.col("_hash") <= first[n - 1]["_hash"]).orderBy(*order).limit(n)
+    mark = mark.distinct()
+    first = found.drop("text").join(mark, "_id").select(*order, "bytes").orderBy(*order).limit(rows).collect()
+    n = int(np.searchsorted(np.cumsum([r["bytes"] for r in first]), SAMPLE_BYTES, "right"))
+    chosen = found.filter(F.col("_hash") <= first[n - 1]["_hash"] if n else F.lit(False)).join(mark, "_id")
+    chosen = chosen.orderBy(*order).limit(n)
     sample = chosen.select("_id", "label", "text").toArrow()
     return sample.sort_by([("_id", "ascending"), ("label", "ascending"), ("text", "ascending")])
 
