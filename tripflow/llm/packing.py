@@ -22,6 +22,9 @@ from tripflow.session import settle
 from tripflow.sources.files import number_rows
 
 WINDOW = 2048
+# Packing is the last of a pipeline's stages, in workers that earlier ones have filled.
+_KEPT_BYTES = 16_000_000
+_RUN_BYTES = 2_500_000
 
 
 def fullest(counts, capacity):
@@ -101,7 +104,7 @@ def lower_ascii(words):
 def _encoder(tokenizer):
     return WordEncoder(
         TokenizerFile(tokenizer), spaced=False,
-        fold=lower_ascii,
+        fold=lower_ascii, limit=_KEPT_BYTES, run_bytes=_RUN_BYTES,
     )
 
 

@@ -55,7 +55,8 @@ class TokenizerFile:
         content, number = self.separator
         bounds = np.append(np.arange(0, len(parts), _JOINED), len(parts)).astype(np.int32)
         joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), parts), content).to_pylist()
-        ids, _ = self.texts([content + text for text in joined])
+        # One at a time: what the library keeps of a text besides its ids is many times as large.
+        ids = np.concatenate([self.texts([content + text])[0] for text in joined])
         starts = np.flatnonzero(ids == number)
         return ids[ids != number], np.diff(np.append(starts, len(ids))) - 1
 
@@ -100,8 +101,9 @@ class WordEncoder:
     (byte-level vocabularies); else blanks are dropped. ``fold``: applied to an array of words before
     they are encoded. ``limit``: bytes of words and ids kept between slices."""
 
-    def __init__(self, coder, spaced, fold=None, limit=_KEPT_BYTES):
+    def __init__(self, coder, spaced, fold=None, limit=_KEPT_BYTES, run_bytes=_SLICE_BYTES):
         self.coder, self.spaced, self.fold, self.limit = coder, spaced, fold, limit
+        self.run_bytes = run_bytes
         self.specials = list(coder.specials)
         self.slice_no = 0
         self._keep(pa.array([], pa.string()), np.zeros(0, np.uint32), *(np.zeros(0, t) for t in (np.int64, bool, np.int32)))
@@ -230,6 +232,6 @@ class WordEncoder:
 
     def texts(self, texts):
         """Yield ``(start, stop, ids, counts)`` for runs of an Arrow array of texts; null is empty."""
-        for start, stop in text_slices(texts):
+        for start, stop in text_slices(texts, self.run_bytes):
             run = pa.array(texts.slice(start, stop - start).fill_null(""))
             yield start, stop, *self._slice(run)
