@@ -1,8 +1,12 @@
 """Live status, runs and warnings against their replay over the same arrivals."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +14,7 @@ from tripflow.operators.ingest import activity_actions, activity_sessions, inges
 from tripflow.operators.monitor import ANY_LIMITS, breaches, recommend_actions, status_warnings, with_limits
 from tripflow.schemas import LIMITS
 from tripflow.session import ROCKS_DB
-from tripflow.streaming.control import CONTROL, run_actions, status_reports, tenant_control, watch
+from tripflow.streaming.control import CONTROL, _Runs, run_actions, status_reports, tenant_control, watch
 from tripflow.streaming.sinks import start
 
 T0 = datetime(2024, 5, 1, 12)
@@ -72,6 +76,58 @@ def test_control_equals_replay(spark, tmp_path, seed):
     assert breaches(status, limits).select(told.columns).exceptAll(told).count() == 0 and told.count() > 3
 
 
+class _State:
+    """The state of one key, with a count of the accesses to it."""
+
+    def __init__(self):
+        self.held, self.accesses = {}, 0
+
+    def __getattr__(self, name):
+        def access(*args):
+            self.accesses += 1
+            key = args[0] if name.endswith(("Value", "Key")) else None
+            if name in ("update", "updateValue"):
+                self.held[key] = args[-1]
+            elif name == "removeKey":
+                del self.held[key]
+            elif name == "iterator":
+                return iter(list(self.held.items()))
+            return key in self.held if name in ("exists", "containsKey") else self.held.get(key)
+
+        return access
+
+
+def test_control_reads_its_state_a_chunk_at_a_time():
+    """Many open intervals cost few accesses; rows in any order, in several frames, some without a time."""
+    run, kept = _State(), _State()
+    control = _Runs(10, 60)
+    control.init(SimpleNamespace(
+        getValueState=lambda *_: run, getMapState=lambda *_: kept, registerTimer=lambda _: None
+    ))
+    rng = np.random.default_rng(4)
+    width, out, want, first, next_no, times = 10_000_000, [], Counter(), None, 0, []
+    for begin, clock in ((7, 1_500), (200_000, 350_000), (349_000, 349_500), (420_000, 500_000)):
+        at = rng.integers(begin * 1_000_000, (begin + 150_000) * 1_000_000, 20_000)
+        bad = rng.integers(0, 2, len(at))
+        first = int(at.min()) if first is None else first
+        for t, d in zip(at.tolist(), bad.tolist(), strict=True):
+            want[max((t - first) // width, next_no), "n"] += 2
+            want[max((t - first) // width, next_no), "d"] += d
+        frame = pd.DataFrame({"arrived_us": at, "n": 2, "discarded": bad})
+        empty = pd.DataFrame({"arrived_us": [None, float(at[0])], "n": 0, "discarded": 0})
+        out += control.handleInputRows(("a",), iter([frame[:9_000], empty, frame[9_000:]]), None)
+        now = SimpleNamespace(getCurrentWatermarkInMs=lambda clock=clock: clock * 1000)
+        out += control.handleExpiredTimer(("a",), now, None)
+        next_no = max(next_no, (clock * 1_000_000 - first) // width)
+    out = pd.concat(out)
+    status = out[out["kind"] == "status"]
+    assert status["interval_no"].tolist() == list(range(next_no))
+    assert status["rows_processed"].tolist() == [want[k, "n"] for k in range(next_no)]
+    assert status["discarded_rows"].tolist() == [want[k, "d"] for k in range(next_no)]
+    assert len(status) > 40_000 and sum(status["rows_processed"]) < 160_000  # the last ones are open
+    assert kept.accesses < 100 and run.accesses < 20
+
+
 def test_breaches(spark):
     limits = spark.createDataFrame([("a", 0.0, 2, 0.4), ("b", 480.0, 0, 1.0), ("b2", None, None, None)], LIMITS)
     counts = {"a": [(5, 0), (1, 0), (1, 0), (2, 2), (1, 1), (3, 0), (1, 0)], "b": [(1, 0), (200, 0), (1, 0)],

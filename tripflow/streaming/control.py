@@ -1,6 +1,6 @@
 """Live control of tenants: status reports every few seconds, start and stop of runs, warnings.
 
-One stateful operator holds a row per tenant and a count per open interval. Time is arrival time;
+One stateful operator holds a row per tenant and the counts of its open intervals. Time is arrival time;
 what closes an interval or a run is the watermark, which all tenants (and a heartbeat) move on. So a
 silent tenant reports zero rows and is stopped, and a replay of the same messages, cut into
 micro-batches in any way, gives the same reports and actions.
@@ -22,12 +22,61 @@ CONTROL = """
     rows_processed BIGINT, discarded_rows BIGINT, action STRING
 """
 _COUNTS = "tenant STRING, ingest_ts TIMESTAMP, arrived_us BIGINT, n BIGINT, discarded BIGINT"
-# Intervals of one output frame; a watermark that jumps over a month closes very many at once.
-_FRAME = 65_536
+# Intervals whose counts are one entry of the state, and of one output frame: a watermark that jumps
+# over a month closes very many at once.
+_CHUNK = 16_384
+# Instants or runs held before they are put together.
+_HELD = 262_144
+
+
+def _summed(parts):
+    """Distinct numbers in order and the sums of their counts; ``parts``: (numbers, n, discarded) each."""
+    numbers, n, discarded = (np.concatenate(column) for column in zip(*parts, strict=True))
+    order = np.argsort(numbers, kind="stable")
+    numbers = numbers[order]
+    starts = np.flatnonzero(np.diff(numbers, prepend=numbers[:1] - 1))
+    return numbers[starts], np.add.reduceat(n[order], starts), np.add.reduceat(discarded[order], starts)
+
+
+def _joined(runs, gap):
+    """First and last instants of the runs that some runs make up together."""
+    first, last = (np.concatenate(column) for column in zip(*runs, strict=True))
+    order = np.argsort(first, kind="stable")
+    first, last = first[order], np.maximum.accumulate(last[order])
+    cut = np.flatnonzero(first[1:] - last[:-1] > gap)
+    return first[np.append(0, cut + 1)], last[np.append(cut, len(last) - 1)]
+
+
+class _Fold:
+    """What a tenant's rows of a batch come to: counts by ``number`` of their instant, and runs."""
+
+    def __init__(self, number, gap):
+        self.number, self.gap = number, gap
+        self.counts, self.runs, self.held = [], [], 0
+
+    def add(self, times, n, discarded):
+        self.counts.append(_summed([(self.number(times), n, discarded)]))
+        self.runs.append(_joined([(times, times)], self.gap))
+        self.held += len(self.counts[-1][0]) + len(self.runs[-1][0])
+        if self.held >= _HELD:
+            self._shrink()
+
+    def _shrink(self):
+        self.counts, self.runs = [_summed(self.counts)], [_joined(self.runs, self.gap)]
+        # Again when as many more have come.
+        self.held = -max(0, len(self.counts[0][0]) + len(self.runs[0][0]) - _HELD)
+
+    def result(self):
+        self._shrink()
+        return self.counts[0], self.runs[0]
 
 
 class _Runs(StatefulProcessor):
-    """Reports and actions of one tenant. Times are in microseconds."""
+    """Reports and actions of one tenant. Times are in microseconds.
+
+    Counts of open intervals are kept a chunk of intervals at a time (numbers, counts and discarded
+    counts as one array), as each access to the state is a message to the JVM.
+    """
 
     def __init__(self, interval, gap):
         self.width, self.gap = interval * 1_000_000, gap * 1_000_000
@@ -35,21 +84,31 @@ class _Runs(StatefulProcessor):
     def init(self, handle):
         self.handle = handle
         self.run = handle.getValueState("run", "first BIGINT, next_no BIGINT, last BIGINT, running BOOLEAN")
-        self.open = handle.getMapState("open", "interval_no BIGINT", "n BIGINT, discarded BIGINT")
-
-    def _status(self, tenant, first, numbers):
-        counts = [(0, 0)] * len(numbers)
-        for number, count in self.open.iterator():
-            at = number[0] - numbers[0]
-            if at < len(numbers):
-                counts[at] = count
-        for number, count in zip(numbers.tolist(), counts, strict=True):
-            if count != (0, 0):
-                self.open.removeKey((number,))
-        n, discarded = zip(*counts, strict=True)
+        self.open = handle.getMapState("open", "chunk BIGINT", "counts BINARY")
+
+    def _counts(self, chunk):
+        if not self.open.containsKey((chunk,)):
+            return np.zeros((3, 0), np.int64)
+        return np.frombuffer(self.open.getValue((chunk,))[0], "<i8").reshape(3, -1)
+
+    def _keep(self, chunk, counts):
+        self.open.updateValue((chunk,), (np.asarray(counts, "<i8").tobytes(),))
+
+    def _status(self, tenant, first, start, stop):
+        """Reports of intervals of one chunk, whose counts then go."""
+        chunk = start // _CHUNK
+        numbers, counts = np.arange(start, stop), np.zeros((2, stop - start), np.int64)
+        held = self._counts(chunk)
+        if held.shape[1]:
+            done = held[0] < stop
+            counts[:, held[0, done] - start] = held[1:, done]
+            if done.all():
+                self.open.removeKey((chunk,))
+            else:
+                self._keep(chunk, held[:, ~done])
         return pd.DataFrame({
             "tenant": tenant, "kind": "status", "at": _stamps(first + (numbers + 1) * self.width),
-            "interval_no": numbers, "rows_processed": n, "discarded_rows": discarded, "action": None,
+            "interval_no": numbers, "rows_processed": counts[0], "discarded_rows": counts[1], "action": None,
         })
 
     def _actions(self, tenant, pairs):
@@ -69,28 +128,42 @@ class _Runs(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         if key[0] is None:  # the heartbeat
             return
-        frame = pd.concat(rows, ignore_index=True).groupby("arrived_us", as_index=False)[["n", "discarded"]].sum()
-        times = frame["arrived_us"].to_numpy()
         if self.run.exists():
             first, next_no, last, running = self.run.get()
         else:
-            first, next_no, last, running = int(times[0]), 0, None, False
-        # A row that comes after its interval was reported counts in the first open one.
-        number = np.maximum((times - first) // self.width, next_no)
-        for no, part in frame.groupby(number):
-            n, discarded = self.open.getValue((int(no),)) if self.open.containsKey((int(no),)) else (0, 0)
-            self.open.updateValue((int(no),), (n + int(part["n"].sum()), discarded + int(part["discarded"].sum())))
+            first, next_no, last, running = None, 0, None, False
+
+        def number(times):
+            # A row that comes after its interval was reported counts in the first open one.
+            return np.maximum((times - first) // self.width, next_no)
+
+        # Of a new tenant the first instant, where its intervals start, is known after all rows.
+        fold = _Fold(number if first is not None else np.asarray, self.gap)
+        for frame in rows:
+            frame = frame[["arrived_us", "n", "discarded"]].dropna(subset="arrived_us")
+            if len(frame):
+                fold.add(*frame.to_numpy(np.int64).T)
+        if not fold.counts:
+            return
+        counts, (begins, ends) = fold.result()
+        if first is None:
+            first = int(begins[0])
+            counts = _summed([(number(counts[0]), *counts[1:])])
+        counts = np.array(counts)
+        for chunk in np.unique(counts[0] // _CHUNK).tolist():
+            fresh = counts[:, counts[0] // _CHUNK == chunk]
+            self._keep(chunk, _summed([self._counts(chunk), fresh]))
         actions = []
         if last is None:
-            actions.append((int(times[0]), "start"))
+            actions.append((int(begins[0]), "start"))
             running = True
-        before = np.concatenate([[times[0] if last is None else last], times[:-1]])
-        for at in np.flatnonzero(times - before > self.gap).tolist():
+        before = np.append(begins[0] if last is None else last, ends[:-1])
+        for at in np.flatnonzero(begins - before > self.gap).tolist():
             if at or running:
                 actions.append((int(before[at]) + self.gap, "stop"))
-            actions.append((int(times[at]), "start"))
+            actions.append((int(begins[at]), "start"))
             running = True
-        last = int(times[-1]) if last is None else max(last, int(times[-1]))
+        last = int(ends[-1]) if last is None else max(last, int(ends[-1]))
         self.run.update((first, next_no, last, True))
         self._wake(first, next_no, last, True)
         if actions:
@@ -100,8 +173,11 @@ class _Runs(StatefulProcessor):
         first, next_no, last, running = self.run.get()
         now = timerValues.getCurrentWatermarkInMs() * 1000
         until = (now - first) // self.width  # intervals before this one have ended
-        for start in range(next_no, until, _FRAME):
-            yield self._status(key[0], first, np.arange(start, min(until, start + _FRAME)))
+        start = next_no
+        while start < until:
+            stop = min(until, (start // _CHUNK + 1) * _CHUNK)
+            yield self._status(key[0], first, start, stop)
+            start = stop
         if running and last + self.gap <= now:
             running = False
             yield self._actions(key[0], [(last + self.gap, "stop")])
