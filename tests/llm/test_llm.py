@@ -72,6 +72,22 @@ def test_words_encode_as_whole_texts(path, limit):
     assert encoder.names.nbytes + encoder.flat.nbytes <= max(limit, 1000)
 
 
+def test_words_of_letters_go_to_the_model(monkeypatch):
+    """Only other parts are split by the library; letters of each byte and strings of other scripts come out right."""
+    letters = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x250))]
+    parts = [p + c + w for c in letters for p in ("", " ", "x", " Wor") for w in ("", "rld", c)]
+    parts += ["", "\nline", "don't", "x1", " 日本", "e\u0301", "  a", "a ", "\xad", *odd_texts(200)]
+    parts = [p for p in dict.fromkeys(parts) if "<|endoftext|>" not in p]
+    coder, seen = words.TokenizerFile(BYTES), []
+    encode = coder.texts
+    monkeypatch.setattr(coder, "texts", lambda texts: seen.extend(texts) or encode(texts))
+    ids, counts = coder.parts(pa.array(parts))
+    assert [run.tolist() for run in np.split(ids, np.cumsum(counts)[:-1])] == list(map(library(BYTES), parts))
+    split = "".join(seen).split("<|endoftext|>")
+    assert " Worérld" not in split and "\nline" in split and "\xd7" in split and "\u0180" in split
+    assert [len(x) for x in coder.parts(pa.array([], pa.string()))] == [0, 0]
+
+
 def test_special_strings_as_plain_text():
     tokenizer = Tokenizer.from_file(BYTES)
     tokenizer.encode_special_tokens = True

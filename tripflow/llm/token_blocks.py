@@ -53,12 +53,13 @@ def pack_ids(ids, block=BLOCK, percentile=PERCENTILE):
         widths = _bits(np.partition(values, at, axis=1)[:, at])
     odd = values >= (1 << widths)[:, None]
     odd[np.arange(block)[None, :] >= lengths[:, None]] = False
-    low = np.where(odd, 0, values).astype(np.uint32)
+    low = np.where(odd, 0, values).astype("<u4")
     packed = [b""] * blocks
     for width in np.unique(widths).tolist():
         rows = np.flatnonzero(widths == width)
         if width:
-            bits = (low[rows, :, None] >> np.arange(width, dtype=np.uint32)).astype(np.uint8) & 1
+            raw = low[rows].view(np.uint8).reshape(-1, 4)[:, :-(-width // 8)]
+            bits = np.unpackbits(raw, axis=1, count=width, bitorder="little")
             data = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
             for row, line in zip(rows.tolist(), data, strict=True):
                 packed[row] = line[: -(-int(lengths[row]) * width // 8)].tobytes()

@@ -7,6 +7,8 @@ words that are not in it become Python strings, and the tokenizer sees them in o
 puts the ids together. The dictionary is bounded in bytes; what was not used for longest goes.
 """
 
+import itertools
+import operator
 import os
 
 import numpy as np
@@ -24,6 +26,11 @@ _FIRST, _SPACED, _LINE = range(3)
 # White space or other control characters at an end of a word, or no word: more than needed.
 _BLANKS = r"\x00-\x09\x0b-\x1f\x7f-\xa0\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}\x{3000}\x{feff}"
 _HARD = rf"^(?:$|[{_BLANKS}]|[ \n](?:$|[ \n{_BLANKS}]))|[ \n{_BLANKS}]$"
+# One pre-token of the byte-level pattern: letters (no others than in every Unicode version), a blank before them or not.
+_LETTERS = r"^ ?[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{17f}]+$"
+# The character that stands for each byte in byte-level vocabularies; these are not the Latin-1 ones.
+_BYTE_CHARS = np.arange(256, dtype="<u2")
+_BYTE_CHARS[[*range(33), *range(127, 161), 173]] = 256 + np.arange(68)
 
 
 class TokenizerFile:
@@ -42,14 +49,43 @@ class TokenizerFile:
         self.specials = [] if plain else [content for content, _ in added]
         self.tokenizer.encode_special_tokens = plain
         self.separator = added[0] if added and not plain else None
+        splitter = self.tokenizer.pre_tokenizer
+        # Whether what stands before the model does nothing to letters but write their bytes as characters.
+        self.byte_level = (
+            self.tokenizer.normalizer is None and type(splitter).__name__ == "ByteLevel" and splitter.use_regex
+            and not splitter.add_prefix_space and all(t.special for t in self.tokenizer.get_added_tokens_decoder().values())
+        )
+        self.model = self.tokenizer.model
 
     def texts(self, texts):
         """The ids of whole texts, flat, and how many each has."""
         return _flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
     def parts(self, parts):
-        """The same for an Arrow array of parts without special strings: joined by one, which is a
-        token of its own and keeps them apart, they are a few texts."""
+        """The same for an Arrow array of parts without special strings. Words of letters go to the
+        library's model at once, if the file is of the byte-level kind."""
+        if not self.byte_level:
+            return self._joined(parts)
+        direct = pc.match_substring_regex(parts, _LETTERS).to_numpy(zero_copy_only=False)
+        runs = [self._words(parts.filter(pa.array(direct))), self._joined(parts.filter(pa.array(~direct)))]
+        flat, counts = (np.concatenate(column) for column in zip(*runs, strict=True))
+        order = np.argsort(np.concatenate([np.flatnonzero(direct), np.flatnonzero(~direct)]))
+        return take_runs(flat, (np.cumsum(counts) - counts)[order], counts[order]), counts[order]
+
+    def _words(self, words):
+        """The same for words that are one pre-token each."""
+        tokenize, runs = self.model.tokenize, [_flat([])]
+        for start in range(0, len(words), _JOINED):
+            raw = "\n".join(words.slice(start, _JOINED).to_pylist()).encode()
+            chars = _BYTE_CHARS[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le")
+            tokens = [tokenize(word) for word in chars.split(chr(_BYTE_CHARS[10]))]
+            runs.append(_flat(tokens, operator.attrgetter("id")))
+        return tuple(np.concatenate(column) for column in zip(*runs, strict=True))
+
+    def _joined(self, parts):
+        """Joined by a special string, which is a token of its own and keeps them apart, parts are a few texts."""
+        if not len(parts):
+            return _flat([])
         if self.separator is None:
             return self.texts(parts.to_pylist())
         content, number = self.separator
@@ -61,9 +97,10 @@ class TokenizerFile:
         return ids[ids != number], np.diff(np.append(starts, len(ids))) - 1
 
 
-def _flat(lists):
+def _flat(lists, number=None):
     counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for ids in lists for i in ids), np.uint32, int(counts.sum())), counts
+    items = itertools.chain.from_iterable(lists)
+    return np.fromiter(map(number, items) if number else items, np.uint32, int(counts.sum())), counts
 
 
 def text_slices(texts, most=_SLICE_BYTES):
@@ -123,13 +160,23 @@ class WordEncoder:
             np.concatenate([self.used, np.full(len(names), self.slice_no, np.int32)]),
         )
 
+    def _find(self, units):
+        """The place of each of some distinct strings in the dictionary, else -1. The fewer ones are
+        hashed, mostly these."""
+        if len(units) > len(self.names):
+            return pc.index_in(units, value_set=self.names).fill_null(-1).to_numpy().astype(np.int64)
+        found = pc.index_in(self.names, value_set=units).fill_null(-1).to_numpy()
+        known = np.flatnonzero(found >= 0)
+        at = np.full(len(units), -1, np.int64)
+        at[found[known]] = known
+        return at
+
     def _places(self, units):
         """The place of each of some distinct units in the dictionary; unknown ones are added to it."""
-        found = pc.index_in(units, value_set=self.names)
-        at = found.fill_null(-1).to_numpy()
-        if found.null_count:
-            at = at.copy()
-            at[at < 0] = self._learn(units.filter(pc.is_null(found)))
+        at = self._find(units)
+        unknown = at < 0
+        if unknown.any():
+            at[unknown] = self._learn(units.filter(pa.array(unknown)))
         return at
 
     def _learn(self, units):
@@ -150,10 +197,9 @@ class WordEncoder:
         ]
         coded = pa.concat_arrays([cores, pa.array(ends, pa.string())]).dictionary_encode()
         parts = coded.dictionary
-        found = pc.index_in(parts, value_set=self.names)
-        place = found.fill_null(-1).to_numpy().astype(np.int64)
-        unknown = parts.filter(pc.is_null(found))
+        place = self._find(parts)
         fresh = place < 0
+        unknown = parts.filter(pa.array(fresh))
         place[fresh] = len(self.names) + np.arange(len(unknown))
         if len(unknown):
             self._add(unknown, *self.coder.parts(unknown))
